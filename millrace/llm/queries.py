@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import clusters, quality, splits
+from millrace.functions.strings import folded, plain_hash, stripped
+from millrace.llm import clusters, increments, mixing, overlaps, quality, splits, tokens
 from millrace.operators import packed
+from millrace.runtime import cut
 from millrace.sources.tables import table
 
 TOLERANCES = {"spectral_centroid_mean": 30.0, "rms_mean": 0.004, "zcr_mean": 0.003, "spectral_bandwidth_mean": 30.0}
@@ -25,6 +27,58 @@ def p1_clusters(spark: SparkSession, d: str) -> DataFrame:
     return _clusters(spark, d).describe(least_size=5)
 
 
+EVALUATION = ("val", "test", "holdout_gold")
+
+
+def _overlapping(spark: SparkSession, d: str) -> DataFrame:
+    """``(a, b, split_name, pool)``: overlapping evaluation and training ids as stored."""
+    listed = table(spark, d, "split_ids", "audio_id", "split_name", "pool").where("audio_id IS NOT NULL").distinct()
+    listed = listed.where(F.col("split_name").isin("train", *EVALUATION))
+    # the look-alikes O for 0, I and L for 1; hyphens go
+    alike = F.translate(F.lower(stripped(F.col("audio_id"))), "oil-", "011")
+    listed = cut(listed.withColumn("alike", alike), "listed")
+    hashes = table(spark, d, "audio_manifest", "audio_id", "sha256").select("audio_id", plain_hash(F.col("sha256")).alias("sha")).distinct()
+    held = cut(listed.join(hashes.where("sha RLIKE '^[0-9a-f]{64}$'"), "audio_id").select("audio_id", "split_name", "pool", "sha"), "held")
+
+    def pairs(df: DataFrame, text: str, k: int, w: int, least: float, exact: str) -> DataFrame:
+        df = df.select("audio_id", "split_name", "pool", F.col(text).alias("text"))
+        train = df.where("split_name = 'train'").select("audio_id", "text").distinct()
+        evaluated = df.where("split_name <> 'train'")
+        found = overlaps.text_overlaps(evaluated, train, k, w, least, in_place=True).where(exact)
+        return overlaps.expand(found, evaluated, train).select("a_audio_id", "b_audio_id", "a_split_name", "a_pool")
+
+    # two of 64 places leave an equal run of 21: windows of 6 k-grams of 16 digits miss none
+    by_hash = pairs(held, "sha", 16, 6, 62 / 64, "length(a) = length(b) AND matched >= length(a) - 2")
+    by_id = pairs(listed, "alike", 22, 5, 1.0, "a = b")
+    return by_hash.unionByName(by_id).distinct().toDF("a", "b", "split_name", "pool")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    o = _overlapping(spark, d)
+    return o.select(F.least("a", "b").alias("audio_id_1"), F.greatest("a", "b").alias("audio_id_2"), "split_name").distinct()
+
+
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps, and evaluation records with one, per split and pool (null pool by itself)."""
+    listed = table(spark, d, "split_ids", "audio_id", "split_name", "pool").where(F.col("split_name").isin(*EVALUATION)).where("audio_id IS NOT NULL").distinct()
+    per = _overlapping(spark, d).groupBy(F.col("a").alias("audio_id"), "split_name", "pool").agg(F.count("*").alias("n"))
+    joined = listed.join(per, listed["audio_id"].eqNullSafe(per["audio_id"]) & (listed["split_name"] == per["split_name"]) & listed["pool"].eqNullSafe(per["pool"]), "left")
+    return joined.groupBy(listed["split_name"], listed["pool"]).agg(
+        F.count("*").alias("records"), F.count("n").alias("overlapping"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), (F.count("n") / F.count("*")).alias("share")
+    )
+
+
+def _imports(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "audio_manifest", "audio_id", "sha256", "file_bytes", "import_timestamp").where("audio_id IS NOT NULL")
+    return m.select(F.col("audio_id").alias("id"), F.col("import_timestamp").alias("ts"), plain_hash(F.col("sha256")).alias("sha"), F.col("file_bytes").alias("bytes")).distinct()
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    records = cut(_imports(spark, d), "imports")
+    r = increments.rejected(records, increments.decide(increments.classes_of(records)))
+    return r.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
+
+
 def _track_links(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "dataset_joined", "track_id", "artist_id")
     return splits.record_entities(t, "track_id", splits.number_in(F.col("artist_id")))
@@ -46,14 +100,14 @@ def p6_splits(spark: SparkSession, d: str) -> DataFrame:
     genre = items.groupBy(F.col("record_key").alias("track_id")).agg(F.min(F.struct("pos", "item"))["item"].alias("label"))
     groups = splits.entity_groups(_track_links(spark, d)).select(F.col("record").alias("track_id"), "group")
     tracks = rows.select("track_id").distinct().join(genre, "track_id", "left").join(groups, "track_id", "left")
-    tracks = splits.cut(tracks.select("track_id", "label", F.coalesce(F.concat(F.lit("artist:"), F.col("group").cast("string")), F.concat(F.lit("track:"), "track_id")).alias("unit"), "group"), "tracks")
+    tracks = cut(tracks.select("track_id", "label", F.coalesce(F.concat(F.lit("artist:"), F.col("group").cast("string")), F.concat(F.lit("track:"), "track_id")).alias("unit"), "group"), "tracks")
     chosen = splits.assign(tracks.groupBy("unit", "label").agg(F.count("*").alias("n")), SHARES)
     return tracks.join(chosen, "unit").select("track_id", F.col("group").alias("group_artist"), "label", "split")
 
 
 def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     """Tracks and share reached per split, and the mean deviation of its label distribution from the whole's."""
-    got = splits.cut(p6_splits(spark, d).groupBy("split", F.coalesce("label", F.lit("")).alias("label")).agg(F.count("*").alias("n")), "shares")
+    got = cut(p6_splits(spark, d).groupBy("split", F.coalesce("label", F.lit("")).alias("label")).agg(F.count("*").alias("n")), "shares")
     total = got.agg(F.sum("n")).first()[0] or 0
     part = got.join(got.groupBy("label").agg((F.sum("n") / F.lit(total)).alias("p")), "label")
     per = part.join(got.groupBy("split").agg(F.sum("n").alias("tracks")), "split")
@@ -64,6 +118,28 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     return out.select("split", "tracks", target[F.col("split")].alias("target_share"), "share", "label_deviation")
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_texts(table(spark, d, "documents", "doc_id", "text"))
+
+
+def _mix(spark: SparkSession, d: str) -> mixing.Mix:
+    targets = mixing.read_targets(table(spark, d, "mix_targets"))
+    docs = table(spark, d, "documents", "doc_id", "source", "text").withColumn("source", folded(F.col("source")))
+    docs = docs.where(F.col("source").isin(list(targets)))
+    sized = tokens.count_tokens(docs).select(F.col("doc_id").alias("key"), "source", F.col("tokens").alias("size"))
+    return mixing.Mix(cut(sized, "sizes"), targets)
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents to take, with their tokens and repeats."""
+    return _mix(spark, d).chosen.select(F.col("key").alias("doc_id"), "source", F.col("size").alias("tokens"), "repeats")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share per source."""
+    return _mix(spark, d).shares()
+
+
 def _statistics(spark: SparkSession, d: str) -> DataFrame:
     words = quality.common_words(table(spark, d, "common_words", "word"))
     return quality.text_statistics(table(spark, d, "documents", "doc_id", "text"), words)
@@ -80,9 +156,15 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_clusters": p1_clusters,
+    "p5_found": p5_found,
+    "p5_report": p5_report,
     "p6_found": p6_found,
     "p6_splits": p6_splits,
     "p6_shares": p6_shares,
+    "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_statistics": p10_statistics,
 }
