@@ -11,17 +11,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MISSING_IN_COPY, MISSING_IN_BASELINE = "missing_in_copy", "missing_in_baseline"
-
+from millrace.functions.strings import stripped
 
-def styled_hex(c: Column) -> Column:
-    """A hash without letter case and surrounding white space."""
-    return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
+MISSING_IN_COPY, MISSING_IN_BASELINE = "missing_in_copy", "missing_in_baseline"
 
 
 def styled_path(c: Column) -> Column:
     """A path without surrounding white space, leading "./", repeated slashes and backslashes."""
-    p = F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), r"[/\\]+", "/")
+    p = F.regexp_replace(stripped(c), r"[/\\]+", "/")
     return F.regexp_replace(p, r"^(\./)+", "")
 
 

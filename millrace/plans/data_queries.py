@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.strings import folded
 from millrace.operators import diff, intervals, packed
 from millrace.sources.tables import table
 
@@ -17,7 +18,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
         key="audio_id",
         fields=("sha256", "file_relative_path", "file_bytes"),
         version="import_timestamp",
-        normalise={"sha256": diff.styled_hex, "file_relative_path": diff.styled_path},
+        normalise={"sha256": folded, "file_relative_path": diff.styled_path},
     )
 
 
