@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.plans import data_queries
+from millrace.plans import core_queries, data_queries
 
-QUERIES = {**data_queries.QUERIES}
-ORACLE = {**data_queries.ORACLE}
+QUERIES = {**data_queries.QUERIES, **core_queries.QUERIES}
+ORACLE = {**data_queries.ORACLE, **core_queries.ORACLE}
 
-flagship = data_queries.p2_found
+flagship = core_queries.flagship
