@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.strings import folded, plain_hash, stripped
 from millrace.llm import clusters, increments, mixing, overlaps, quality, splits, tokens
 from millrace.operators import packed
-from millrace.runtime import cut
+from millrace.runtime import cut, spread
 from millrace.sources.tables import table
 
 TOLERANCES = {"spectral_centroid_mean": 30.0, "rms_mean": 0.004, "zcr_mean": 0.003, "spectral_bandwidth_mean": 30.0}
@@ -119,13 +119,13 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return tokens.encode_texts(table(spark, d, "documents", "doc_id", "text"))
+    return tokens.encode_texts(spread(table(spark, d, "documents", "doc_id", "text")))
 
 
 def _mix(spark: SparkSession, d: str) -> mixing.Mix:
     targets = mixing.read_targets(table(spark, d, "mix_targets"))
     docs = table(spark, d, "documents", "doc_id", "source", "text").withColumn("source", folded(F.col("source")))
-    docs = docs.where(F.col("source").isin(list(targets)))
+    docs = spread(docs.where(F.col("source").isin(list(targets))))
     sized = tokens.count_tokens(docs).select(F.col("doc_id").alias("key"), "source", F.col("tokens").alias("size"))
     return mixing.Mix(cut(sized, "sizes"), targets)
 
@@ -142,7 +142,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def _statistics(spark: SparkSession, d: str) -> DataFrame:
     words = quality.common_words(table(spark, d, "common_words", "word"))
-    return quality.text_statistics(table(spark, d, "documents", "doc_id", "text"), words)
+    return quality.text_statistics(spread(table(spark, d, "documents", "doc_id", "text")), words)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
