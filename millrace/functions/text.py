@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: kinds of personal data in the order in which they are redacted, one after another
@@ -41,14 +41,21 @@ SAFETY_PATTERNS: Mapping[str, tuple[float, str]] = {
 }
 
 
-def pii_steps(text: Column, kinds: Sequence[str] | None = None, replacement: str = "[REDACTED]") -> tuple[Column, dict[str, Column]]:
-    """The redacted text, and per kind the number of matches, each counted on what the kinds before have left."""
-    counts: dict[str, Column] = {}
+def redact(df: DataFrame, column: str, kinds: Sequence[str] | None = None, replacement: str = "[REDACTED]", prefix: str = "n_") -> tuple[DataFrame, list[str]]:
+    """``df`` with ``column`` redacted and a count column per kind, ``prefix`` and its name, each counted on what the kinds before have left.
+
+    One projection per kind, so that a text is searched once for each, and rewritten only where something was found. A
+    null text stays null and counts 0. Returns the names of the kinds, too.
+    """
+    done = []
+    put = replacement.replace("\\", "\\\\").replace("$", "\\$")
     for name, pattern in PII:
         if kinds is None or name in kinds:
-            counts[name] = F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
-            text = F.regexp_replace(text, pattern, replacement.replace("\\", "\\\\").replace("$", "\\$"))
-    return text, counts
+            n = f"{prefix}{name}"
+            df = df.withColumn(n, F.coalesce(F.regexp_count(F.col(column), F.lit(pattern)), F.lit(0)))
+            df = df.withColumn(column, F.when(F.col(n) > 0, F.regexp_replace(F.col(column), pattern, put)).otherwise(F.col(column)))
+            done.append(name)
+    return df, done
 
 
 def type_list(counts: Mapping[str, Column]) -> Column:

@@ -26,14 +26,14 @@ def temporal_split(df: DataFrame, time: str, key: str, ratios: Mapping[str, floa
     """Adds ``split``: earliest rows first, null times last, ties by ``key``. What floor() leaves falls to the last split."""
     head, rest = _cut(ratios)
     ranked = global_rank(df, [F.col(time).isNull(), F.col(time), F.col(key)])
-    return ranked.withColumn("split", by_place(F.col("rank"), _total(df), head, rest)).drop("rank")
+    return ranked.withColumn("split", by_place(F.col("rank"), _total(ranked), head, rest)).drop("rank")
 
 
 def random_split(df: DataFrame, key: str, ratios: Mapping[str, float] = RATIOS, seed: object = 42) -> DataFrame:
     """Adds ``split`` by the order of a hash of seed and key: the same for the same rows, however they are laid out."""
     head, rest = _cut(ratios)
     ranked = global_rank(df, [seeded(seed, F.col(key)), F.col(key)])
-    return ranked.withColumn("split", by_place(F.col("rank"), _total(df), head, rest)).drop("rank")
+    return ranked.withColumn("split", by_place(F.col("rank"), _total(ranked), head, rest)).drop("rank")
 
 
 def stratified_split(df: DataFrame, stratum: str, key: str, ratios: Mapping[str, float] = RATIOS, seed: object = 42) -> DataFrame:
@@ -56,7 +56,7 @@ def holdout_first_split(df: DataFrame, key: str, holdout: float = 0.1, test: flo
     """Adds ``split``: the holdout is cut first, then test and validation; all else trains."""
     ranked = global_rank(df, [seeded(seed, F.col(key)), F.col(key)])
     ratios = {"holdout_gold": holdout, "test": test, "val": val}
-    return ranked.withColumn("split", by_place(F.col("rank"), _total(df), ratios, "train")).drop("rank")
+    return ranked.withColumn("split", by_place(F.col("rank"), _total(ranked), ratios, "train")).drop("rank")
 
 
 def replace_from_pool(df: DataFrame, pool: DataFrame, split: str, key: str, fallback: str = "train") -> DataFrame:

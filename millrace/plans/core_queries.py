@@ -12,7 +12,7 @@ from millrace.functions.strings import plain_hash
 from millrace.operators import chunks, dedup, density, frames, gates, packed, ranking, reports, similarity, splits, tables, tags
 from millrace.operators.graph import connected_components
 from millrace.plans.pipeline import Pipeline, Result, Stage
-from millrace.runtime import cut, shared_dir
+from millrace.runtime import cut, shared_dir, spread
 from millrace.sources.tables import table
 from millrace.streaming import windows
 
@@ -157,15 +157,16 @@ def bit_depths(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}')) AS email,
   regexp_replace(text, '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}', '[REDACTED]', 'g') AS clean FROM documents""")
 def email_redacted(spark: SparkSession, d: str) -> DataFrame:
-    clean, n = text.pii_steps(F.col("text"), ("email",))
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", n["email"].alias("email"), clean.alias("clean"))
+    df, _ = text.redact(table(spark, d, "documents", "doc_id", "text"), "text", ("email",))
+    return df.select("doc_id", F.col("n_email").alias("email"), F.col("text").alias("clean"))
 
 
 @query()
 def pii_redacted(spark: SparkSession, d: str) -> DataFrame:
     """All nine kinds, one after another; look-behinds that DuckDB lacks, so checked on a fixture."""
-    clean, n = text.pii_steps(F.col("text"))
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", clean.alias("clean"), text.total(n).alias("removed"), text.type_list(n).alias("types"))
+    df, kinds = text.redact(spread(table(spark, d, "documents", "doc_id", "text")), "text")
+    n = {k: F.col(f"n_{k}") for k in kinds}
+    return df.select("doc_id", F.col("text").alias("clean"), text.total(n).alias("removed"), text.type_list(n).alias("types"))
 
 
 def _safety_sql() -> str:
@@ -665,11 +666,11 @@ def curation(spark: SparkSession) -> Pipeline:
         return Result(kept)
 
     def redact(df: DataFrame, c: dict) -> Result:
-        clean, n = text.pii_steps(F.col("text"))
-        return Result(df.select("doc_id", "source", F.col("text").alias("raw"), clean.alias("text"), text.total(n).alias("removed")))
+        out, kinds = text.redact(df.select("doc_id", "source", "text"), "text")
+        return Result(out.withColumn("removed", text.total({k: F.col(f"n_{k}") for k in kinds})).select("doc_id", "source", "text", "removed"))
 
     def split(df: DataFrame, c: dict) -> Result:
-        return Result(splits.random_split(df.select("doc_id", "source", "removed"), "doc_id", seed=c["seed"]))
+        return Result(splits.random_split(cut(df.select("doc_id", "source", "removed"), "clean"), "doc_id", seed=c["seed"]))
 
     return Pipeline([Stage("gate", gate), Stage("exact", exact), Stage("redact", redact), Stage("split", split)])
 
@@ -679,7 +680,7 @@ WITH g AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND length(
 r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('7|' || doc_id), doc_id) r, count(*) OVER () n FROM k)
 SELECT {_ratio_sql('r', 'n')} AS split, count(*) AS n FROM r GROUP BY 1""")
 def curated_documents(spark: SparkSession, d: str) -> DataFrame:
-    run = curation(spark).run(table(spark, d, "documents", "doc_id", "source", "text"), {"least_chars": 20, "seed": 7})
+    run = curation(spark).run(spread(table(spark, d, "documents", "doc_id", "source", "text")), {"least_chars": 20, "seed": 7})
     return run.data.groupBy("split").agg(F.count("*").alias("n"))
 
 

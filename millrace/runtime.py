@@ -45,6 +45,12 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     return Table(df, name).df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for work that is heavy per row on a table of few files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package, wherever their Python path points. Once per context."""
     sc = spark.sparkContext
