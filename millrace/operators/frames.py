@@ -56,11 +56,12 @@ def top_tags(df: DataFrame, item: str, name: str, order: str, k: int = 5) -> Dat
 
     Counts are folded per item and name first; what is ranked is at most one row per name of an item.
     """
-    c = df.where(F.col(name).isNotNull()).groupBy(item, name).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    r = F.row_number().over(Window.partitionBy(item).orderBy(F.desc("n"), "first", name))
-    c = c.withColumn("r", r).where(F.col("r") <= k)
-    text = F.concat(F.col(name), F.lit(":"), F.col("n").cast("string"))
-    return c.groupBy(item).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", text.alias("t")))), lambda s: s["t"]), "; ").alias("top"))
+    c = df.select(F.col(item).alias("_k"), F.col(name).alias("_name"), F.col(order).alias("_o")).where("_name IS NOT NULL")
+    c = c.groupBy("_k", "_name").agg(F.count("*").alias("_n"), F.min("_o").alias("_first"))
+    c = c.withColumn("_r", F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_n"), "_first", "_name"))).where(F.col("_r") <= k)
+    text = F.concat(F.col("_name"), F.lit(":"), F.col("_n").cast("string"))
+    top = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_r").alias("r"), text.alias("t")))), lambda s: s["t"]), "; ")
+    return c.groupBy(F.col("_k").alias(item)).agg(top.alias("top"))
 
 
 def interval_stats(df: DataFrame, item: str, time: Column, bucket_seconds: float = 86400.0) -> DataFrame:
