@@ -26,16 +26,21 @@ def _bounds(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
     return start, stop - start
 
 
+def _key(length: Column, i: Column, content: Column) -> Column:
+    """A segment's length, number and content as one number: equal segments meet, and what meets by chance is verified away."""
+    return F.xxhash64(length, i, content)
+
+
 def segments(strings: DataFrame, tau: int) -> DataFrame:
-    """``(s, len, i, content)``: the tau + 1 segments of each distinct string ``s`` of more than tau characters."""
-    df = strings.select("s", F.length("s").alias("len")).where(F.col("len") > tau)
+    """``(s, i, key)``: the tau + 1 segments of each distinct string ``s`` of more than tau characters."""
+    df = strings.select("s").where(F.length("s") > tau)
     df = df.withColumn("i", F.explode(F.array(*[F.lit(i) for i in range(tau + 1)])))
-    start, n = _bounds(F.col("len"), F.col("i"), tau + 1)
-    return df.select("s", "len", "i", F.expr("s").substr(start + 1, n).alias("content"))
+    start, n = _bounds(F.length("s"), F.col("i"), tau + 1)
+    return df.select("s", "i", _key(F.length("s"), F.col("i"), F.expr("s").substr(start + 1, n)).alias("key"))
 
 
 def probes(strings: DataFrame, tau: int, substitutions: bool) -> DataFrame:
-    """``(s, len, i, content)``: the substrings of ``s`` that may be segment ``i`` of a string of length ``len``.
+    """``(s, i, key)``: the substrings of ``s`` that may be segment ``i`` of a string within tau edits.
 
     With ``substitutions`` only strings of the same length and the same place are meant.
     """
@@ -49,7 +54,7 @@ def probes(strings: DataFrame, tau: int, substitutions: bool) -> DataFrame:
     # no more edits may lie before the segment than are needed, nor after it
     d = F.col("own") - F.col("len")
     df = df.where((F.col("at") >= 0) & (F.col("at") + F.col("n") <= F.col("own")) & (F.abs(F.col("at") - start) + F.abs(d - (F.col("at") - start)) <= tau))
-    return df.select("s", "len", "i", F.expr("s").substr(F.col("at") + 1, F.col("n")).alias("content")).distinct()
+    return df.select("s", "i", _key(F.col("len"), F.col("i"), F.expr("s").substr(F.col("at") + 1, F.col("n"))).alias("key")).distinct()
 
 
 def _distance_within(a: Column, b: Column, tau: int, substitutions: bool) -> Column:
@@ -62,31 +67,31 @@ def _distance_within(a: Column, b: Column, tau: int, substitutions: bool) -> Col
 def near_strings(batch: DataFrame, stored: DataFrame | None, tau: int, substitutions: bool = False, crowded: int = CROWDED) -> DataFrame:
     """``(a, b)``, a before b: distinct pairs of strings within tau edits, both of ``batch`` (s) or one of it and one stored.
 
-    ``stored`` holds segments as ``segments`` gives them. Where a segment is held by more than ``crowded`` strings they
+    ``stored`` holds segments as ``segments`` gives them, of strings that aren't in ``batch``. Where a segment is held by more than ``crowded`` strings they
     are paired only if, of the rest of the string cut again into tau + 1, some part agrees too: with substitutions that
     must be so for strings within tau, so that a crowded segment makes no quadratic candidates and loses none.
     """
-    new = segments(batch, tau)
-    index = new if stored is None else new.unionByName(stored)
     ask = probes(batch, tau, substitutions)
-    key = ["len", "i", "content"]
+    index = ask if substitutions else segments(batch, tau)
     if stored is not None:  # of the history only what the batch asks for
-        index = index.join(ask.select(*key).distinct(), key, "left_semi")
-    held = index.groupBy(*key).agg(F.count("*").alias("held"))
+        index = index.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi"))
+    held = index.groupBy("key").agg(F.count("*").alias("held"))
     if substitutions:  # a string finds itself
         held = held.where("held > 1")
-    ask, index = ask.join(held, key), index.join(held, key)
+    ask, index = ask.join(held, "key"), index.join(held, "key")
+    key = ["key"]
     if substitutions:
         more = F.when(F.col("held") > crowded, F.array(*[F.lit(j) for j in range(tau + 1)])).otherwise(F.array(F.lit(-1)))
 
         def deeper(df: DataFrame) -> DataFrame:
-            start, n = _bounds(F.col("len"), F.col("i"), tau + 1)
-            rest = F.concat(F.expr("s").substr(F.lit(1), start), F.expr("s").substr(start + n + 1, F.col("len")))
+            start, n = _bounds(F.length("s"), F.col("i"), tau + 1)
+            rest = F.concat(F.expr("s").substr(F.lit(1), start), F.expr("s").substr(start + n + 1, F.length("s")))
             df = df.withColumn("rest", rest).withColumn("j", F.explode(more))
             s2, n2 = _bounds(F.length("rest"), F.col("j"), tau + 1)
-            return df.withColumn("part", F.when(F.col("j") < 0, F.lit("")).otherwise(F.expr("rest").substr(s2 + 1, n2))).drop("rest")
+            part = F.when(F.col("j") < 0, F.lit(0)).otherwise(F.xxhash64("j", F.expr("rest").substr(s2 + 1, n2)))
+            return df.select("key", part.alias("part"), "s")
 
-        ask, index, key = deeper(ask), deeper(index), [*key, "j", "part"]
+        ask, index, key = deeper(ask), deeper(index), ["key", "part"]
     x = ask.select(*key, F.col("s").alias("a"))
     y = index.select(*key, F.col("s").alias("b"))
     pairs = x.join(y, key).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -99,7 +104,7 @@ def classes_of(records: DataFrame) -> DataFrame:
     They match the same records and one another, so that they share their fate: ``first``, the earliest, stands for all.
     """
     c = records.where("sha <> ''").groupBy("sha", "bytes").agg(F.min(F.struct("ts", "id")).alias("first"))
-    return c.withColumn("cid", F.concat_ws("/", "sha", F.coalesce(F.col("bytes").cast("string"), F.lit(""))))
+    return c.withColumn("cid", F.unhex(F.md5(F.concat_ws("/", "sha", F.coalesce(F.col("bytes").cast("string"), F.lit(""))))))
 
 
 def _edges(new: DataFrame, old: DataFrame | None, old_segments: DataFrame | None) -> DataFrame:
@@ -111,12 +116,13 @@ def _edges(new: DataFrame, old: DataFrame | None, old_segments: DataFrame | None
     a = near.join(side.select(F.col("sha").alias("a"), F.col("cid").alias("ca"), F.col("first").alias("fa"), F.col("bytes").alias("ba"), F.explode(F.array(*[F.col("slot") + x for x in (-1, 0, 1)])).alias("slot")), "a")
     b = side.select(F.col("sha").alias("b"), F.col("cid").alias("cb"), F.col("first").alias("fb"), F.col("bytes").alias("bb"), "slot")
     typed = a.join(b, ["b", "slot"]).where(F.abs(F.col("ba") - F.col("bb")) <= SPREAD).select("ca", "fa", "cb", "fb")
-    heads = every.where(f"bytes IS NOT NULL AND length(sha) >= {PREFIX}").withColumn("head", F.substring("sha", 1, PREFIX)).withColumn("n", F.length("sha"))
-    shared = heads.groupBy("head", "bytes").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi").select("head", "bytes")
-    heads = heads.join(shared, ["head", "bytes"])
-    short = heads.where(f"sha RLIKE '^[0-9a-f]{{{PREFIX},}}$'").select("head", "bytes", F.col("sha").alias("sa"), F.col("cid").alias("ca"), F.col("first").alias("fa"))
-    longer = heads.select("head", "bytes", F.col("sha").alias("sb"), F.col("cid").alias("cb"), F.col("first").alias("fb"))
-    cut_off = short.join(longer, ["head", "bytes"]).where("length(sa) < length(sb) AND startswith(sb, sa)").select("ca", "fa", "cb", "fb")
+    heads = every.where(f"bytes IS NOT NULL AND length(sha) >= {PREFIX}")
+    heads = heads.select(F.xxhash64(F.substring("sha", 1, PREFIX), "bytes").alias("head"), "bytes", "sha", "cid", "first")
+    shared = heads.groupBy("head").agg(F.min(F.length("sha")).alias("lo"), F.max(F.length("sha")).alias("hi")).where("lo < hi").select("head")
+    heads = heads.join(shared, "head")
+    short = heads.where(f"sha RLIKE '^[0-9a-f]{{{PREFIX},}}$'").select("head", F.col("bytes").alias("ba"), F.col("sha").alias("sa"), F.col("cid").alias("ca"), F.col("first").alias("fa"))
+    longer = heads.select("head", F.col("bytes").alias("bb"), F.col("sha").alias("sb"), F.col("cid").alias("cb"), F.col("first").alias("fb"))
+    cut_off = short.join(longer, "head").where("ba = bb AND length(sa) < length(sb) AND startswith(sb, sa)").select("ca", "fa", "cb", "fb")
     late = F.col("fa") > F.col("fb")
     both = typed.unionByName(cut_off)
     return both.select(F.when(late, F.col("ca")).otherwise(F.col("cb")).alias("late"), F.when(late, F.col("cb")).otherwise(F.col("ca")).alias("early")).distinct()
