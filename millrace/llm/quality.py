@@ -39,7 +39,7 @@ RULE = re.compile(r"^[\s|+:=_.\-─━┼┬┴├┤]+$")
 PAIR = re.compile(r"(?<!\S)[^\s=]{1,30}=")
 QUOTED = re.compile(r"\"[^\"\n]*\"")
 GAP = re.compile(r"\S(?:\s{2,}|\t)(?=\S)")
-ROUGH = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}|[aeiou]{4,}|[jqxz][bcdfghjklmnpqrstvwxz]|[^\W\d_]{16,}", re.I)
+ROUGH = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}|[aeiou]{4,}|[jqxz][bcdfghjklmnpqrstvwxz]|[^\W\d_]{16,}")
 MOJIBAKE = re.compile(r"[\u0080-ÿŒœŠšŸŽžƒˆ˜–-…‰‹›€™]")
 EMOJI = re.compile(r"[\U0001F000-\U0001FAFF☀-➿️‍⃣]")
 
@@ -147,46 +147,56 @@ def _cells(lines: list[str]) -> tuple[np.ndarray, float]:
     return best, share
 
 
+# the ASCII characters of each class
+_BLANK, _LETTERS, _DIGITS = b" \t\n\r\x0b\x0c", bytes(range(65, 91)) + bytes(range(97, 123)), b"0123456789"
+
+
+def _inks(s: str) -> tuple[int, int, int]:
+    """Characters of a line that aren't blank, letters and digits among them."""
+    if s.isascii():
+        b = s.encode().translate(None, _BLANK)
+        rest = b.translate(None, _LETTERS)
+        return len(b), len(b) - len(rest), len(rest) - len(rest.translate(None, _DIGITS))
+    ink = "".join(s.split())
+    return len(ink), sum(map(str.isalpha, ink)), sum(map(str.isdigit, ink))
+
+
 def _junk_line(s: str, common: frozenset[str]) -> bool:
     """Whether a line can't be read as words, entries or cells in any language."""
-    ink = "".join(s.split())
-    n = len(ink)
+    n, letters, digits = _inks(s)
     if n == 0:
         return False
-    if ink.count("�") > 0.2 * n:
-        return True
-    strange = len(MOJIBAKE.findall(ink))
-    if strange > 0.35 * n and n >= 8:
-        return True
-    marked = sum(map(len, MARKUP.findall(s)))
-    if marked > 0.5 * len(s):
+    ascii_ = s.isascii()
+    if not ascii_:
+        if s.count("�") > 0.2 * n:
+            return True
+        if n >= 8 and len(MOJIBAKE.findall(s)) > 0.35 * n:
+            return True
+    if ("<" in s or "&" in s or "{" in s) and sum(map(len, MARKUP.findall(s))) > 0.5 * len(s):
         return True
     if n < 6:
         return False
     tokens = s.split()
-    if len(tokens) >= 8 and len(HEX.findall(s)) > 0.8 * len(tokens):
+    if len(tokens) >= 8 and 2 * len(tokens) > 0.8 * n and len(HEX.findall(s)) > 0.8 * len(tokens):
         return True
-    letters = sum(map(str.isalpha, ink))
-    digits = sum(map(str.isdigit, ink))
-    symbols = n - letters - digits - len(EMOJI.findall(ink))
+    symbols = n - letters - digits - (0 if ascii_ else len(EMOJI.findall(s)))
     if symbols > 0.6 * n and n >= 8:
         return True
     if digits > 0.85 * n and len(tokens) >= 5:
         return True
-    if letters and CJK.search(ink):
+    if not ascii_ and letters and CJK.search(s):
         return False
     longest = max(map(len, tokens))
     if longest >= 40 and longest > 0.5 * n and not s.lstrip().startswith("http"):
         return True
-    found = [w for w in WORD.findall(s) if w.isascii()]
+    found = WORD.findall(s.lower())
+    if not ascii_:
+        found = [w for w in found if w.isascii()]
     # broken recognition: words in pieces, with signs and figures in between
     if n >= 30 and found and symbols + digits > 0.25 * n and sum(map(len, found)) < 2.7 * len(found):
         return True
-    if len(found) >= 5 and len(found) * 2 >= len(tokens):
-        known = sum(w.lower() in common for w in found)
-        rough = sum(bool(ROUGH.search(w)) for w in found)
-        if known < 0.08 * len(found) and rough > 0.3 * len(found):
-            return True
+    if len(found) >= 5 and len(found) * 2 >= len(tokens) and sum(map(common.__contains__, found)) < 0.08 * len(found):
+        return sum(1 for w in found if ROUGH.search(w)) > 0.3 * len(found)
     return False
 
 
@@ -197,20 +207,21 @@ def describe(text: str | None, common: Mapping[str, frozenset[str]]) -> tuple:
     spaced, unspaced = common["spaced"], common["unspaced"]
     lines = [s for s in re.split(r"\r\n|\n|\r| | |\x85(?=\s)", text) if s.strip()]
     n = len(lines)
-    words = words_of(text)
-    ink = "".join(text.split())
-    symbols = 1 - sum(map(str.isalnum, ink)) / len(ink)
-    ends = sum(bool(SENTENCE_END.search(s)) for s in lines) / n
-    joined = "".join(CJK.findall(text))
-    known = sum(w.lower() in spaced for w in words)
-    for w in unspaced:
-        known += joined.count(w) * len(w)
+    words = words_of(text.lower())
+    n_ink, n_letters, n_digits = _inks(text)
+    symbols = 1 - (n_letters + n_digits) / n_ink
+    ends = sum(1 for s in lines if SENTENCE_END.search(s[-40:])) / n
+    known = sum(map(spaced.__contains__, words))
+    if not text.isascii():
+        joined = "".join(CJK.findall(text))
+        for w in unspaced:
+            known += joined.count(w) * len(w)
     ratio = min(1.0, known / len(words)) if words else 0.0
     rows, aligned = _cells(lines)
     lengths = np.array([len(s) for s in lines], float)
     indents = np.array([len(s) - len(s.lstrip()) for s in lines], float)
     stats = (
-        len(text), n, len(words), float(np.mean([len(w) for w in words])) if words else 0.0, symbols, ends, ratio,
+        len(text), n, len(words), sum(map(len, words)) / len(words) if words else 0.0, symbols, ends, ratio,
         aligned, _periodic(indents) if indents.any() else 0.0, _periodic(lengths),
     )
     return (*stats, _kind(text, lines, lengths, rows, aligned, ends, ratio, spaced))
