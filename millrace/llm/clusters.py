@@ -93,29 +93,34 @@ def _links(cells: list[str], values: list[str], widths: np.ndarray, k: int, pair
     f = len(cells)
     least_shared = k - f
 
-    def shared(c: np.ndarray, d: np.ndarray) -> np.ndarray:
-        return np.stack([(np.floor_divide(c + g, k) == np.floor_divide(d + g, k)).all(-1) for g in range(k)], -1)
-
-    def band(c: np.ndarray, x: np.ndarray, g: int) -> list[tuple]:
+    def band(c: np.ndarray, x: np.ndarray, g: int) -> np.ndarray:
         cuts = np.flatnonzero(np.append(True, (c[1:] != c[:-1]).any(1)))
         stops = np.append(cuts[1:], len(c))
         u = c[cuts]
-        out: list[tuple] = []
-        for i in range(len(u) - 1):
-            # verified by exact Jaccard of the token sets, left to the first band they share, and neighbours
-            tokens = shared(u[i], u[i + 1 :])
-            n = tokens.sum(1)
-            ok = (n * (k + f) >= least_shared * (2 * k - n)) & (tokens.argmax(1) == g) & (np.abs(u[i + 1 :] - u[i]) <= 1).all(1)
-            a = x[cuts[i] : stops[i]]
-            for j in np.flatnonzero(ok) + i + 1:
-                b = x[cuts[j] : stops[j]]
-                gap = np.maximum(b.min(0) - a.max(0), a.min(0) - b.max(0))
-                if (gap > widths).any():
-                    continue
-                step = max(1, pairs_at_once // len(b))
-                if any((np.abs(a[s : s + step, None] - b[None]) <= widths).all(2).any() for s in range(0, len(a), step)):
-                    out.append((*u[i].tolist(), *u[j].tolist()))
-        return out
+        if len(u) < 2:
+            return np.zeros((0, 2 * f), np.int64)
+        low, high = np.minimum.reduceat(x, cuts), np.maximum.reduceat(x, cuts)
+        left, right = [], []
+        step = max(1, pairs_at_once // (8 * len(u)))
+        for s in range(0, len(u), step):
+            i, j = np.nonzero((np.abs(u[s : s + step, None] - u[None]) <= 1).all(2))
+            i += s
+            left.append(i[i < j]), right.append(j[i < j])
+        i, j = np.concatenate(left), np.concatenate(right)
+        # verified by exact Jaccard of the token sets, and left to the first band that they share
+        tokens = np.stack([(np.floor_divide(u[i] + t, k) == np.floor_divide(u[j] + t, k)).all(1) for t in range(k)], 1)
+        n = tokens.sum(1)
+        ok = (n * (k + f) >= least_shared * (2 * k - n)) & (tokens.argmax(1) == g)
+        # boxes too far apart hold no link; of single records the box is the record
+        ok &= (np.maximum(low[j] - high[i], low[i] - high[j]) <= widths).all(1)
+        i, j = i[ok], j[ok]
+        size = stops - cuts
+        linked = (size[i] == 1) & (size[j] == 1)
+        for p in np.flatnonzero(~linked):
+            a, b = x[cuts[i[p]] : stops[i[p]]], x[cuts[j[p]] : stops[j[p]]]
+            rows_at_once = max(1, pairs_at_once // len(b))
+            linked[p] = any((np.abs(a[s : s + rows_at_once, None] - b[None]) <= widths).all(2).any() for s in range(0, len(a), rows_at_once))
+        return np.hstack([u[i[linked]], u[j[linked]]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f"a_{c}" for c in cells] + [f"b_{c}" for c in cells]
@@ -125,13 +130,12 @@ def _links(cells: list[str], values: list[str], widths: np.ndarray, k: int, pair
             key = b[["grid", *[f"t_{c}" for c in cells]]].to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1))), len(b))
             c, x = b[cells].to_numpy(), b[values].to_numpy(float)
-            found = [p for i in range(len(cuts) - 2) for p in band(c[cuts[i] : cuts[i + 1]], x[cuts[i] : cuts[i + 1]], key[cuts[i]][0])]
+            found = [band(c[cuts[i] : cuts[i + 1]], x[cuts[i] : cuts[i + 1]], key[cuts[i]][0]) for i in range(len(cuts) - 2)]
             rest = b.iloc[cuts[-2] :]
             if found:
-                yield pd.DataFrame(found, columns=names)
+                yield pd.DataFrame(np.concatenate(found), columns=names)
         if rest is not None and len(rest):
-            if found := band(rest[cells].to_numpy(), rest[values].to_numpy(float), int(rest["grid"].iloc[0])):
-                yield pd.DataFrame(found, columns=names)
+            yield pd.DataFrame(band(rest[cells].to_numpy(), rest[values].to_numpy(float), int(rest["grid"].iloc[0])), columns=names)
 
     return run
 
