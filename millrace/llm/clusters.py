@@ -156,12 +156,14 @@ class Clusters:
         self.widths = widths
         self.cells, self.values = [f"c{i}" for i in range(f)], [f"x{i}" for i in range(f)]
         rec = df.select(df[key].alias("id"), *[df[n].cast("double").alias(x) for n, x in zip(fields, self.values)])
-        sound = [F.col(x).isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e300) for x in self.values]
+        sound = [F.col(x).isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")) for x in self.values]
         for s in (F.col("id").isNotNull(), *sound):
             rec = rec.where(s)
         rec = rec.distinct()
         for c, x, w in zip(self.cells, self.values, widths):
-            rec = rec.withColumn(c, F.floor(F.col(x) / F.lit(float(w))).cast("bigint"))
+            # beyond 2^52 tolerances neighbouring doubles are further apart than one: only equal values are alike there
+            far = F.lit(1 << 59) + F.pmod(F.xxhash64(x), F.lit(1 << 58))
+            rec = rec.withColumn(c, F.when(F.abs(F.col(x) / F.lit(float(w))) < float(1 << 52), F.floor(F.col(x) / F.lit(float(w)))).otherwise(far).cast("bigint"))
         self.records = cut(rec, "records")
         self.counts = self.records.groupBy(*self.cells).agg(F.count("*").alias("n"), F.min("id").alias("least"))
         reduce = _reduce(self.cells, self.values)

@@ -111,9 +111,11 @@ def _edges(new: DataFrame, old: DataFrame | None, old_segments: DataFrame | None
     """``(late, early)``: classes with different hashes that match, at least one of them new."""
     every = new if old is None else new.unionByName(old)
     full = f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'"
-    near = near_strings(new.where(full).select(F.col("sha").alias("s")).distinct(), old_segments, TAU, substitutions=True)
-    side = every.where("bytes IS NOT NULL").withColumn("slot", F.floor(F.col("bytes") / F.lit(SPREAD + 1)))
-    a = near.join(side.select(F.col("sha").alias("a"), F.col("cid").alias("ca"), F.col("first").alias("fa"), F.col("bytes").alias("ba"), F.explode(F.array(*[F.col("slot") + x for x in (-1, 0, 1)])).alias("slot")), "a")
+    near = cut(near_strings(new.where(full).select(F.col("sha").alias("s")).distinct(), old_segments, TAU, substitutions=True), "near")
+    involved = near.select(F.col("a").alias("sha")).union(near.select("b")).distinct()
+    side = every.where("bytes IS NOT NULL").join(involved, "sha", "left_semi").withColumn("slot", F.floor(F.col("bytes") / F.lit(SPREAD + 1)))
+    a = near.join(side.select(F.col("sha").alias("a"), F.col("cid").alias("ca"), F.col("first").alias("fa"), F.col("bytes").alias("ba"), F.col("slot").alias("own")), "a")
+    a = a.withColumn("slot", F.explode(F.array(*[F.col("own") + x for x in (-1, 0, 1)])))
     b = side.select(F.col("sha").alias("b"), F.col("cid").alias("cb"), F.col("first").alias("fb"), F.col("bytes").alias("bb"), "slot")
     typed = a.join(b, ["b", "slot"]).where(F.abs(F.col("ba") - F.col("bb")) <= SPREAD).select("ca", "fa", "cb", "fb")
     heads = every.where(f"bytes IS NOT NULL AND length(sha) >= {PREFIX}")

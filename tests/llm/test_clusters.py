@@ -43,6 +43,7 @@ def make(seed, n, spread):
 def test_membership_against_brute_force(spark, spread):
     data = make(3, 900, spread)
     data += data[:50]
+    data += [(f"v{i}", 1e300 * (1 + i % 2), 0.1, -0.1, 1e18, 1, 1, 1) for i in range(12)]
     data += [("n1", None, 0.1, 0.1, 1.0, 1, 1, 1), ("n2", float("nan"), 0.1, 0.1, 1.0, 1, 1, 1), ("n3", 1.0, float("inf"), 0.1, 1.0, 1, 1, 1), (None, *data[0][1:])]
     df = spark.createDataFrame(data, SHAPE)
     assert rows(clusters.Clusters(df, "audio_id", TOL).membership(5)) == brute(data, 5)
