@@ -158,7 +158,7 @@ SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[a-zA-Z0-9._%+\-]+@[a
   regexp_replace(text, '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}', '[REDACTED]', 'g') AS clean FROM documents""")
 def email_redacted(spark: SparkSession, d: str) -> DataFrame:
     df, _ = text.redact(table(spark, d, "documents", "doc_id", "text"), "text", ("email",))
-    return df.select("doc_id", F.col("n_email").alias("email"), F.col("text").alias("clean"))
+    return df.select("doc_id", F.col("n_email").cast("bigint").alias("email"), F.col("text").alias("clean"))
 
 
 @query()
