@@ -70,13 +70,14 @@ def repeated_share(text: str) -> float:
     n = len(t)
     if n < 24:
         return 0.0
-    codes = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    codes = None
     best = 0.0
     for at in (0, n // 3, n // 2):
         probe = t[at : at + 12]
         nxt = t.find(probe, at + 1)
         if nxt > 0 and (nxt - at) * 3 <= n:
             p = nxt - at
+            codes = np.frombuffer(t.encode("utf-32-le"), np.uint32) if codes is None else codes
             best = max(best, float(np.mean(codes[p:] == codes[:-p])))
     return best
 
@@ -93,16 +94,17 @@ def _periodic(x: np.ndarray) -> float:
     return max(float(x[k:] @ x[:-k]) / v for k in range(1, min(9, n - 1)))
 
 
-def _cells(lines: list[str]) -> tuple[np.ndarray, float]:
-    """Which lines are rows of the same cells, by the delimiter that aligns best, and the share of such lines."""
+def _cells(lines: list[str]) -> float:
+    """The share of lines that are rows of the same cells, by the delimiter that aligns best."""
     n = len(lines)
-    none = np.zeros(n, bool)
     if n < 2:
-        return none, 0.0
+        return 0.0
     rule = np.array([bool(RULE.match(s)) and len(s.strip()) > 1 for s in lines])
     bare = [QUOTED.sub("q", s).strip() if '"' in s else s.strip() for s in lines]
-    best, share = none, 0.0
+    share = 0.0
     for d in ("\t", "|", ";", ",", "=", "  "):
+        if sum(1 for s in lines if d in s) * 3 < n:  # too few lines hold it for most to be rows
+            continue
         if d == "=":
             counts = np.array([len(PAIR.findall(s)) for s in bare])
         elif d == "  ":
@@ -140,11 +142,8 @@ def _cells(lines: list[str]) -> tuple[np.ndarray, float]:
             continue
         if d in (",", ";") and float(np.mean([", " in bare[i] or "; " in bare[i] for i in idx])) > 0.5 and mode < 3:
             continue
-        got = rows | (rule if rows.any() else none)
-        s = float(got.mean())
-        if s > share:
-            best, share = got, s
-    return best, share
+        share = max(share, float((rows | rule).mean()))
+    return share
 
 
 # the ASCII characters of each class
@@ -217,29 +216,41 @@ def describe(text: str | None, common: Mapping[str, frozenset[str]]) -> tuple:
         for w in unspaced:
             known += joined.count(w) * len(w)
     ratio = min(1.0, known / len(words)) if words else 0.0
-    rows, aligned = _cells(lines)
+    aligned = _cells(lines)
     lengths = np.array([len(s) for s in lines], float)
     indents = np.array([len(s) - len(s.lstrip()) for s in lines], float)
+    indented = _periodic(indents) if indents.any() else 0.0
+    stepped = _periodic(lengths)
     stats = (
         len(text), n, len(words), sum(map(len, words)) / len(words) if words else 0.0, symbols, ends, ratio,
-        aligned, _periodic(indents) if indents.any() else 0.0, _periodic(lengths),
+        aligned, indented, stepped,
     )
-    return (*stats, _kind(text, lines, lengths, rows, aligned, ends, ratio, spaced))
+    return (*stats, _kind(text, lines, lengths, indents, (aligned, indented, stepped), ends, ratio, spaced))
 
 
-def _kind(text: str, lines: list[str], lengths: np.ndarray, rows: np.ndarray, aligned: float, ends: float, ratio: float, spaced: frozenset[str]) -> str:
+def _kind(text: str, lines: list[str], lengths: np.ndarray, indents: np.ndarray, grid: tuple[float, float, float], ends: float, ratio: float, spaced: frozenset[str]) -> str:
     n, total = len(lines), float(lengths.sum())
+    aligned, indented, stepped = grid
+    # rows of one length after another, or records of a fixed number of lines, need fewer aligned ones to be a table
+    most = 0.4 if n >= 6 and stepped > 0.6 else 0.5
     if repeated_share(text) > 0.85:
         return "junk"
     junk = np.array([_junk_line(s, spaced) for s in lines])
-    if aligned <= 0.5 and float(lengths[junk].sum()) > 0.5 * total:
+    if aligned <= most and float(lengths[junk].sum()) > 0.5 * total:
         return "junk"
-    if aligned > 0.5:
+    if aligned > most:
         numbers = sum(map(str.isdigit, text))
         wordy = ratio > 0.2 and ends > 0.3
         if not wordy or numbers > 0.15 * total:
             return "table"
     marked = np.array([bool(MARKER.match(s)) for s in lines])
+    if indented > 0.3 and marked.sum() >= 2:
+        # indentation that comes and goes: deeper lines below a marked one go on with its entry
+        own, inside = -1.0, False
+        for i in range(n):
+            inside = bool(marked[i]) or (inside and indents[i] > own)
+            own = indents[i] if marked[i] else own
+            marked[i] = inside
     if n >= 2 and marked.sum() > 0.5 * n:
         return "list"
     if n >= 3:

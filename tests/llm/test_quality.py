@@ -24,6 +24,7 @@ def test_lists():
     assert kind("- one\n\n- two\n\n- three") == "list"
     assert kind("drums;\nflute,\nlate fade\ncello,\nharp;") == "list"
     assert kind("Step 1: The choir sang the part.\nStep 2: It was put on tape.\nStep 3: They went home.") == "list"
+    assert kind("- the part of the band\n    that was on tape\n    for a year\n- the other part\n    that they have\n    kept as it is") == "list"
     assert kind("Mix: Ona Tel\nKeys: Ravi Mo\nCover: Lin Sa") == "list"
     assert kind("一、开头的和弦\n二、最后的尾奏\n・第二段") == "list"
 
