@@ -55,3 +55,10 @@ def funnel(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 def totals(df: DataFrame, size: str) -> DataFrame:
     """``(files, bytes)``."""
     return df.agg(F.count("*").alias("files"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+
+
+def id_totals(df: DataFrame, by: str, key: str) -> DataFrame:
+    """``(by, n, n_distinct, repeated)``: rows, distinct keys and rows beyond the first of their key."""
+    per = df.groupBy(by, key).agg(F.count("*").alias("_n"))
+    n, k = F.sum("_n"), F.count(key)
+    return per.groupBy(by).agg(n.alias("n"), k.alias("n_distinct"), F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("_n") - 1)), F.lit(0)).alias("repeated"))

@@ -82,3 +82,21 @@ def upsert_last(tables: Sequence[DataFrame], key: str, order: Sequence[str] = ()
     cols = [c for c in every.columns if c != "_src"]
     best = every.groupBy(F.col(key).alias("_k")).agg(F.max(F.struct("_src", *order, F.struct(*cols).alias("_row")))["_row"].alias("r"))
     return best.select("r.*")
+
+
+def resolve_path(df: DataFrame, key: str, candidates: Sequence[Column], inventory: DataFrame, path: str) -> DataFrame:
+    """``(key, path)``: the first candidate path of each row that the inventory has, else null.
+
+    One join for all candidates; keys are distinct.
+    """
+    rows = df.select(F.col(key).alias("_k"), F.posexplode(F.array(*candidates)).alias("_n", "_p"))
+    there = inventory.select(F.col(path).alias("_q")).where("_q IS NOT NULL").distinct()
+    found = rows.join(there, F.col("_p") == F.col("_q"), "left").groupBy("_k").agg(F.min(F.when(F.col("_q").isNotNull(), F.struct("_n", "_q")))["_q"].alias(path))
+    return found.select(F.col("_k").alias(key), path)
+
+
+def batches(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
+    """``df`` with ``batch``, from 0, of ``size`` rows each in the given order."""
+    from millrace.operators.ranking import global_rank
+
+    return global_rank(df, order).withColumn("batch", F.floor((F.col("rank") - 1) / F.lit(size)).cast("bigint")).drop("rank")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import paths, text, vectors
 from millrace.functions.strings import plain_hash
-from millrace.operators import chunks, dedup, density, frames, gates, packed, ranking, reports, similarity, splits, tables, tags
+from millrace.operators import chunks, dedup, density, frames, gates, kernels, packed, ranking, reports, similarity, splits, tables, tags
 from millrace.operators.graph import connected_components
 from millrace.plans.pipeline import Pipeline, Result, Stage
 from millrace.runtime import cut, shared_dir, spread
@@ -370,6 +370,35 @@ def stage_funnel(spark: SparkSession, d: str) -> DataFrame:
     return reports.funnel([("manifest", m), ("active", active), ("long_enough", active.where("duration_sec >= 5"))])
 
 
+@query("""
+SELECT split_name, count(*) AS n, count(DISTINCT audio_id) AS n_distinct, count(audio_id) - count(DISTINCT audio_id) AS repeated FROM split_ids GROUP BY 1""")
+def split_id_totals(spark: SparkSession, d: str) -> DataFrame:
+    return reports.id_totals(table(spark, d, "split_ids", "split_name", "audio_id"), "split_name", "audio_id")
+
+
+@query("""
+WITH m AS (SELECT DISTINCT audio_id, file_relative_path p FROM audio_manifest), i AS (SELECT DISTINCT file_relative_path q FROM storage_checksums WHERE file_relative_path IS NOT NULL)
+SELECT audio_id, min(CASE WHEN a.q IS NOT NULL THEN a.q WHEN b.q IS NOT NULL THEN b.q END) AS file_relative_path FROM m LEFT JOIN i a ON m.p = a.q LEFT JOIN i b ON './' || m.p = b.q GROUP BY 1""")
+def resolved_paths(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "audio_manifest", "audio_id", "file_relative_path").distinct()
+    p = F.col("file_relative_path")
+    return tables.resolve_path(m, "audio_id", [p, F.concat(F.lit("./"), p)], table(spark, d, "storage_checksums", "file_relative_path"), "file_relative_path")
+
+
+@query("SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS batch FROM orders")
+def order_batches(spark: SparkSession, d: str) -> DataFrame:
+    return tables.batches(table(spark, d, "orders", "o_orderkey"), [F.col("o_orderkey")], 500)
+
+
+@query("""
+SELECT audio_path, CASE WHEN lang IS NOT NULL THEN lang ELSE 'en' END AS lang FROM (SELECT audio_path, max(lang) lang FROM language_cache WHERE audio_path IS NOT NULL GROUP BY 1)""")
+def remembered_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Cached languages where there are any, the fallback where there are none."""
+    c = table(spark, d, "language_cache", "audio_path", "lang").where("audio_path IS NOT NULL").groupBy("audio_path").agg(F.max("lang").alias("lang"))
+    got, _ = kernels.remembered(c.select("audio_path"), c.where("lang IS NOT NULL"), "audio_path", lambda m: m.withColumn("lang", F.lit("en")))
+    return got
+
+
 # windows
 
 

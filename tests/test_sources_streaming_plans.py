@@ -83,3 +83,38 @@ def test_registry():
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     entry = importlib.import_module("__spark_entry__")
     assert set(registry.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_versions(spark, tmp_path):
+    from millrace.sources import versions
+
+    root = str(tmp_path / "v")
+    assert versions.registry(spark, root).count() == 0
+    df = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "test")], "audio_id string, split string")
+    first = versions.freeze(df, "audio_id", root, "20250101_000000", {"seed": 1})
+    second = versions.freeze(df.where("split = 'train'"), "audio_id", root, "20250101_000000")
+    assert (first, second) == ("v20250101_000000", "v20250101_000000-001")
+    assert rows(versions.registry(spark, root).select("version", "total", "is_latest")) == [(first, 3, False), (second, 2, True)]
+    assert rows(versions.load(spark, root)) == [("a", "train"), ("b", "train")]
+    assert rows(versions.load(spark, root, first)) == [("a", "train"), ("b", "train"), ("c", "test")]
+
+
+def test_kernels(spark):
+    import pandas as pd
+
+    from millrace.operators import kernels
+
+    def load():
+        def length(b):
+            if (b["t"] == "bad").any():
+                raise ValueError
+            return pd.DataFrame({"n": b["t"].str.len()})
+
+        return length
+
+    df = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, "x")], "i int, t string")
+    assert rows(kernels.apply_kernel(df, load, "n bigint", ["i"])) == [(1, 3), (2, None), (3, 1)]
+    assert rows(kernels.apply_kernel(df.limit(0), load, "n bigint", ["i"])) == []
+    cache = spark.createDataFrame([("abc", 99), ("zzz", 1)], "t string, n bigint")
+    got, new = kernels.remembered(df.select("t"), cache, "t", lambda m: m.withColumn("n", F.length("t").cast("bigint")))
+    assert rows(got) == [("abc", 99), ("bad", 3), ("x", 1)] and rows(new) == [("bad", 3), ("x", 1)]
