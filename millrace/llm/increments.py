@@ -187,23 +187,34 @@ def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 class History:
-    """What has been accepted so far: classes and the segments of their hashes, as tables in a folder."""
+    """What has been accepted so far: classes and the segments of their hashes, as tables in a folder.
+
+    The folder alone tells what is stored, so that another object, driver or day goes on where the last one ended. A
+    batch that is added again, as after a lost driver, has the same rejects and stores no class twice.
+    """
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
-        self.batches = 0
 
-    def _read(self, spark, name: str) -> DataFrame | None:
-        return spark.read.parquet(f"{self.path}/{name}") if self.batches else None
+    def _read(self, spark, name: str, like: DataFrame) -> DataFrame | None:
+        """A stored table, or none where nothing has been stored. Files of an unfinished first write don't count."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return spark.read.schema(like.schema).parquet(f"{self.path}/{name}") if fs.exists(path) else None
 
     def add(self, records: DataFrame) -> DataFrame:
         """Rejects of a batch ``records`` (id, ts, sha, bytes) later than all before it; what is accepted is appended."""
         spark = records.sparkSession
-        decided = cut(decide(classes_of(records), self._read(spark, "classes"), self._read(spark, "segments")), "decided")
+        new = classes_of(records)
+        old, old_segments = self._read(spark, "classes", new), self._read(spark, "segments", segments(new.select(F.col("sha").alias("s")), TAU))
+        decided = cut(decide(new, old, old_segments), "decided")
         out = cut(rejected(records, decided), "rejected")
         good = decided.where("by IS NULL").select("sha", "bytes", "first", "cid")
+        if old is not None:
+            good = good.join(old.select("cid"), "cid", "left_anti").select(good.columns)
+        good = cut(good, "good")
         known = good.where(f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'").select(F.col("sha").alias("s")).distinct()
+        # classes last: segments without a class reject nothing, a class without its segments would be missed
         segments(known, TAU).write.mode("append").parquet(f"{self.path}/segments")
         good.write.mode("append").parquet(f"{self.path}/classes")
-        self.batches += 1
         return out

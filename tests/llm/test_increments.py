@@ -105,6 +105,21 @@ def test_batches_against_bulk(spark, tmp_path):
     assert sorted(got) == brute(recs)
 
 
+def test_stored_history_is_found_again(spark, tmp_path):
+    """A new object for every batch, and every batch twice, as after a lost driver."""
+    recs = make(4)
+    (tmp_path / "classes" / "_temporary").mkdir(parents=True)  # a first write that ended early
+    got = []
+    for day in sorted({r[1] for r in recs}):
+        df = spark.createDataFrame([r for r in recs if r[1] == day], SHAPE).distinct()
+        once = rows(increments.History(str(tmp_path)).add(df))
+        stored = spark.read.parquet(f"{tmp_path}/classes").count()
+        assert rows(increments.History(str(tmp_path)).add(df)) == once
+        assert spark.read.parquet(f"{tmp_path}/classes").count() == stored
+        got += once
+    assert sorted(got) == brute(recs)
+
+
 def test_one_hash_with_many_sizes(spark):
     recs = [(f"a{i:04}", dt.datetime(2025, 1, 1), "ab" * 32, i * 1000) for i in range(400)]
     df = spark.createDataFrame(recs, SHAPE)
