@@ -3,8 +3,9 @@
 A string of length l is cut into tau + 1 segments at fixed places; a string within tau edits of it holds at least one of
 them unchanged, at most tau places away. The index stores the segments of accepted strings by length, number and content;
 a batch probes it with its own substrings at the places where a segment can stand, and candidates are verified by their
-distance. Only accepted records are stored, as only they can reject; a batch reads the matching part of the index, not
-the history. Equal hashes and cut ones are found by equality joins of the same kind.
+distance. Only accepted records are stored, as only they can reject. A batch scans the stored tables and keeps of them
+what its hashes, heads and segments ask for; only that is shuffled further. Equal hashes and cut ones are found by
+equality joins of the same kind.
 """
 
 from __future__ import annotations
@@ -107,19 +108,38 @@ def classes_of(records: DataFrame) -> DataFrame:
     return c.withColumn("cid", F.unhex(F.md5(F.concat_ws("/", "sha", F.coalesce(F.col("bytes").cast("string"), F.lit(""))))))
 
 
-def _edges(new: DataFrame, old: DataFrame | None, old_segments: DataFrame | None) -> DataFrame:
+def _near(new: DataFrame, old_segments: DataFrame | None) -> DataFrame:
+    """``(a, b)``: pairs of whole hashes within ``TAU`` substitutions, at least one of them new."""
+    full = new.where(f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'").select(F.col("sha").alias("s")).distinct()
+    return cut(near_strings(full, old_segments, TAU, substitutions=True), "near")
+
+
+def _head() -> Column:
+    """The begin of a hash, with the size; null where cut-off hashes aren't compared."""
+    return F.when(F.col("bytes").isNotNull() & (F.length("sha") >= PREFIX), F.xxhash64(F.substring("sha", 1, PREFIX), "bytes"))
+
+
+def matching(old: DataFrame, new: DataFrame, near: DataFrame) -> DataFrame:
+    """The stored classes that may match a new one: of its hash, of its head, or of a hash near to it.
+
+    Stored classes are accepted and settled, so that no others can decide anything about the batch.
+    """
+    asked = new.select("sha").union(near.select("a")).union(near.select("b")).select(F.xxhash64("sha").alias("key"))
+    asked = asked.union(new.select(_head())).where("key IS NOT NULL").distinct()
+    held = old.withColumn("key", F.explode(F.array(F.xxhash64("sha"), _head())))
+    return held.join(asked, "key", "left_semi").select(old.columns).distinct()
+
+
+def _edges(new: DataFrame, old: DataFrame | None, near: DataFrame) -> DataFrame:
     """``(late, early)``: classes with different hashes that match, at least one of them new."""
     every = new if old is None else new.unionByName(old)
-    full = f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'"
-    near = cut(near_strings(new.where(full).select(F.col("sha").alias("s")).distinct(), old_segments, TAU, substitutions=True), "near")
     involved = near.select(F.col("a").alias("sha")).union(near.select("b")).distinct()
     side = every.where("bytes IS NOT NULL").join(involved, "sha", "left_semi").withColumn("slot", F.floor(F.col("bytes") / F.lit(SPREAD + 1)))
     a = near.join(side.select(F.col("sha").alias("a"), F.col("cid").alias("ca"), F.col("first").alias("fa"), F.col("bytes").alias("ba"), F.col("slot").alias("own")), "a")
     a = a.withColumn("slot", F.explode(F.array(*[F.col("own") + x for x in (-1, 0, 1)])))
     b = side.select(F.col("sha").alias("b"), F.col("cid").alias("cb"), F.col("first").alias("fb"), F.col("bytes").alias("bb"), "slot")
     typed = a.join(b, ["b", "slot"]).where(F.abs(F.col("ba") - F.col("bb")) <= SPREAD).select("ca", "fa", "cb", "fb")
-    heads = every.where(f"bytes IS NOT NULL AND length(sha) >= {PREFIX}")
-    heads = heads.select(F.xxhash64(F.substring("sha", 1, PREFIX), "bytes").alias("head"), "bytes", "sha", "cid", "first")
+    heads = every.select(_head().alias("head"), "bytes", "sha", "cid", "first").where("head IS NOT NULL")
     shared = heads.groupBy("head").agg(F.min(F.length("sha")).alias("lo"), F.max(F.length("sha")).alias("hi")).where("lo < hi").select("head")
     heads = heads.join(shared, "head")
     short = heads.where(f"sha RLIKE '^[0-9a-f]{{{PREFIX},}}$'").select("head", F.col("bytes").alias("ba"), F.col("sha").alias("sa"), F.col("cid").alias("ca"), F.col("first").alias("fa"))
@@ -139,7 +159,10 @@ def decide(new: DataFrame, old: DataFrame | None = None, old_segments: DataFrame
     Within a hash the order itself says who comes earlier: no pairs of equal hashes are made.
     """
     new = cut(new, "new")
-    edges = cut(_edges(new, old, old_segments), "edges")
+    near = _near(new, old_segments)
+    if old is not None:
+        old = cut(matching(old, new, near), "matching")
+    edges = cut(_edges(new, old, near), "edges")
     shared = new.select("sha") if old is None else new.select("sha").unionByName(old.select("sha"))
     shared = shared.groupBy("sha").agg(F.count("*").alias("k")).where("k > 1").select("sha")
     linked = edges.select(F.col("late").alias("cid")).union(edges.select("early")).distinct()

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.strings import folded, plain_hash, stripped
 from millrace.llm import clusters, increments, mixing, overlaps, quality, splits, tokens
 from millrace.operators import packed
-from millrace.runtime import cut, spread
+from millrace.runtime import cut, scratch, spread
 from millrace.sources.tables import table
 
 TOLERANCES = {"spectral_centroid_mean": 30.0, "rms_mean": 0.004, "zcr_mean": 0.003, "spectral_bandwidth_mean": 30.0}
@@ -79,6 +81,18 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
 
 
+def p7_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of ``p7_found``, by batches of a quarter of a year that are stored and probed one after another."""
+    records = cut(_imports(spark, d), "imports")
+    folder = scratch(spark, "history")
+    quarter = F.year("ts") * 4 + F.quarter("ts")
+    parts = []
+    for (q,) in records.select(quarter.alias("q")).distinct().orderBy("q").collect():  # null times come first
+        parts.append(increments.History(folder).add(records.where(quarter.eqNullSafe(F.lit(q)))))
+    r = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "id string, repeats string")
+    return r.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
+
+
 def _track_links(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "dataset_joined", "track_id", "artist_id")
     return splits.record_entities(t, "track_id", splits.number_in(F.col("artist_id")))
@@ -162,6 +176,7 @@ QUERIES = {
     "p6_splits": p6_splits,
     "p6_shares": p6_shares,
     "p7_found": p7_found,
+    "p7_batches": p7_batches,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,

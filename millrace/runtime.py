@@ -45,6 +45,16 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     return Table(df, name).df
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """The path of a new folder in the shared one; it goes when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return path
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for work that is heavy per row on a table of few files."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import increments
+from millrace.llm import increments, queries
 from tests.conftest import rows
 
 HEX = "0123456789abcdef"
@@ -120,6 +120,25 @@ def test_stored_history_is_found_again(spark, tmp_path):
     assert sorted(got) == brute(recs)
 
 
+def test_a_batch_takes_only_what_matches_from_history(spark):
+    t = dt.datetime(2025, 1, 1)
+    old = [("same", t, "ab" * 32, 5), ("near", t, "cd" * 32, 9000), ("head", t, "ef" * 20, 7), ("size", t, "ef" * 19, 8), ("none", t, "12" * 32, 5), ("none2", t, "ab" * 7, None)]
+    new = [("x", t, "ab" * 32, None), ("y", t, "cd" * 31 + "ce", 8000), ("z", t, "ef" * 32, 7)]
+    old, new = (increments.classes_of(spark.createDataFrame(x, SHAPE)) for x in (old, new))
+    near = increments._near(new, increments.segments(old.select(F.col("sha").alias("s")), 2))
+    assert rows(increments.matching(old, new, near).select("first.id")) == [("head",), ("near",), ("same",)]
+
+
+def test_batches_query(spark, tmp_path):
+    """The registered query goes through stored history, and finds what one bulk pass finds."""
+    old, recs = "ab" * 32, []
+    for i, (day, sha) in enumerate([("2025-01-05", old), ("2025-05-01", old[:-1] + "c"), ("2025-05-02", old[:20]), ("2025-09-01", old), ("2025-09-02", "cd" * 32), (None, "12" * 32), ("2025-12-01", "12" * 32)]):
+        recs.append((f"r{i}", sha, 5, day and dt.datetime.fromisoformat(day)))
+    spark.createDataFrame(recs, "audio_id string, sha256 string, file_bytes bigint, import_timestamp timestamp").write.parquet(f"{tmp_path}/audio_manifest.parquet")
+    want = [("r0", "r1"), ("r0", "r2"), ("r0", "r3"), ("r5", "r6")]
+    assert rows(queries.QUERIES["p7_batches"](spark, str(tmp_path))) == want
+
+
 def test_one_hash_with_many_sizes(spark):
     recs = [(f"a{i:04}", dt.datetime(2025, 1, 1), "ab" * 32, i * 1000) for i in range(400)]
     df = spark.createDataFrame(recs, SHAPE)
