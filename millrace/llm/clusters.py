@@ -1,14 +1,14 @@
-"""Clusters of mutually similar records of numeric fields: MinHash banding, exact Jaccard, connected components.
+"""Clusters of mutually similar records of numeric fields: a shifted-grid join, exact tolerances, connected components.
 
 Two records are alike if they differ by at most a tolerance in every field. Space is cut into cells one tolerance wide,
 so records of one cell are all alike, and only links between cells are sought: pairs within a cell are never made.
 
 A cell's token set holds, for each of ``k`` grids of k-fold width, shifted by one tolerance each, the coarse cell it lies
 in. A pair that differs by at most one tolerance per field is cut apart by at most one grid per field, so alike records
-share at least k - fields of the k tokens: a Jaccard similarity of at least (k - f) / (k + f). The set is hashed by
-one-permutation MinHash with one bin per grid, where the minimum of a bin is the token's own hash, and banded with one
-row a band: by the pigeonhole principle no alike pair is missed. Candidates of a band are verified by exact Jaccard of
-the token sets, then by the tolerances themselves.
+share at least k - fields of the k tokens: a Jaccard similarity of at least (k - f) / (k + f). Each token is a
+band of its own, so that MinHash banding comes down to a join on (grid, coarse cell): by the pigeonhole principle no
+alike pair is missed. Cells that differ by one at most in every field always meet the Jaccard bound; the tolerances
+themselves verify.
 
 Of a full cell only the records that can decide a link are kept: those of its 2^f skylines, one per direction. A link to
 a neighbouring cell exists if and only if one exists between the skylines that face each other, and skylines of parts
