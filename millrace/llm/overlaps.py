@@ -139,16 +139,22 @@ def _run(x: str, y: str) -> int:
     return n
 
 
+def equal_texts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(a, b, seeds, matched, coverage)`` of the texts that both sides (text) hold; null and empty ones overlap nothing."""
+    a = left.select("text").where("text <> ''").distinct()
+    b = right.select("text").where("text <> ''").distinct()
+    return a.join(b, "text").select(F.col("text").alias("a"), F.col("text").alias("b"), F.lit(0).alias("seeds"), F.length("text").alias("matched"), F.lit(1.0).alias("coverage"))
+
+
 def text_overlaps(left: DataFrame, right: DataFrame, k: int, w: int, least: float, in_place: bool = False) -> DataFrame:
     """``(a, b, seeds, matched, coverage)`` of the distinct texts of ``left`` and ``right`` (text) that overlap.
 
-    coverage is the share of the longer text that is matched, and at least ``least``. Equal texts have coverage 1.
+    coverage is the share of the longer text that is matched, and at least ``least``. Equal texts have coverage 1 and are found by an equality join beside the fingerprints.
     ``in_place`` keeps only seeds at the same place on both sides, for texts that differ by substitutions alone. Null and
     empty texts overlap nothing; either side empty gives no rows.
     """
     a = left.select("text").where("text <> ''").distinct()
     b = right.select("text").where("text <> ''").distinct()
-    same = a.join(b, "text").select(F.col("text").alias("a"), F.col("text").alias("b"), F.lit(0).alias("seeds"), F.length("text").alias("matched"), F.lit(1.0).alias("coverage"))
     fa = fingerprints(a, k, w).select(F.col("text").alias("a"), F.col("place").alias("p"), "hash")
     fb = fingerprints(b, k, w).select(F.col("text").alias("b"), F.col("place").alias("q"), "hash")
     on = (fa["hash"] == fb["hash"]) & (F.col("a") != F.col("b"))
@@ -165,7 +171,7 @@ def text_overlaps(left: DataFrame, right: DataFrame, k: int, w: int, least: floa
             yield pd.DataFrame(rows, columns=["a", "b", "seeds", "matched", "coverage"])
 
     near = seeds.mapInPandas(run, "a string, b string, seeds int, matched int, coverage double").where(F.col("coverage") >= least)
-    return cut(same.unionByName(near), "overlaps")
+    return cut(equal_texts(a, b).unionByName(near), "overlaps")
 
 
 def expand(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +43,16 @@ def _overlapping(spark: SparkSession, d: str) -> DataFrame:
     hashes = table(spark, d, "audio_manifest", "audio_id", "sha256").select("audio_id", plain_hash(F.col("sha256")).alias("sha")).distinct()
     held = cut(listed.join(hashes.where("sha RLIKE '^[0-9a-f]{64}$'"), "audio_id").select("audio_id", "split_name", "pool", "sha"), "held")
 
-    def pairs(df: DataFrame, text: str, k: int, w: int, least: float, exact: str) -> DataFrame:
+    def pairs(df: DataFrame, text: str, overlapping: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         df = df.select("audio_id", "split_name", "pool", F.col(text).alias("text"))
         train = df.where("split_name = 'train'").select("audio_id", "text").distinct()
         evaluated = df.where("split_name <> 'train'")
-        found = overlaps.text_overlaps(evaluated, train, k, w, least, in_place=True).where(exact)
-        return overlaps.expand(found, evaluated, train).select("a_audio_id", "b_audio_id", "a_split_name", "a_pool")
+        return overlaps.expand(overlapping(evaluated, train), evaluated, train).select("a_audio_id", "b_audio_id", "a_split_name", "a_pool")
 
     # two of 64 places leave an equal run of 21: windows of 6 k-grams of 16 digits miss none
-    by_hash = pairs(held, "sha", 16, 6, 62 / 64, "length(a) = length(b) AND matched >= length(a) - 2")
-    by_id = pairs(listed, "alike", 22, 5, 1.0, "a = b")
+    by_hash = pairs(held, "sha", lambda a, b: overlaps.text_overlaps(a, b, 16, 6, 62 / 64, in_place=True).where("length(a) = length(b) AND matched >= length(a) - 2"))
+    # ids must be equal, which needs no fingerprints
+    by_id = pairs(listed, "alike", lambda a, b: cut(overlaps.equal_texts(a, b), "equal"))
     return by_hash.unionByName(by_id).distinct().toDF("a", "b", "split_name", "pool")
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from millrace.llm import overlaps
+from millrace.llm import overlaps, queries
 from tests.conftest import rows
 
 HEX = "0123456789abcdef"
@@ -65,6 +65,16 @@ def test_empty_sides(spark):
         assert rows(overlaps.text_overlaps(a, b, 3, 2, 0.5)) == []
 
 
+def test_equal_ids_take_no_fingerprints(spark, tmp_path, monkeypatch):
+    ids = [("x-O1", "train", None), ("X01", "val", "p"), ("x02", "test", "p"), (None, "val", "p")]
+    spark.createDataFrame(ids, "audio_id string, split_name string, pool string").write.parquet(f"{tmp_path}/split_ids.parquet")
+    spark.createDataFrame([("x-O1", "ab" * 32), ("x02", "ab" * 31 + "cc")], "audio_id string, sha256 string").write.parquet(f"{tmp_path}/audio_manifest.parquet")
+    made, fingerprints = [], overlaps.fingerprints
+    monkeypatch.setattr(overlaps, "fingerprints", lambda texts, k, w: made.append(k) or fingerprints(texts, k, w))
+    assert rows(queries.p5_found(spark, str(tmp_path))) == [("X01", "x-O1", "val"), ("x-O1", "x02", "test")]
+    assert made == [16, 16]  # those of the hashes
+
+
 def test_align_counts_matches():
     a = "x" * 10 + "abcdefghij" + "yy"
     b = "z" * 3 + "abcdefghij" + "yy"
