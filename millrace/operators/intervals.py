@@ -29,7 +29,8 @@ def periods_and_gaps(df: DataFrame, key: str, start: Column, end: Column, width:
     ends = F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("d")), F.struct(F.col("e").alias("t"), F.lit(-1).alias("d")))
     ev = iv.select("k", F.explode(ends).alias("x")).select("k", F.col("x.t").alias("t"), F.col("x.d").alias("d"))
     ev = ev.withColumn("b", F.floor(F.col("t") / F.lit(width)).cast("bigint"))
-    ev = ev.repartition("k", "b").groupBy("k", "b", "t").agg(F.sum("d").alias("d")).where("d <> 0")
+    # summed by time before and after a shuffle by time, so that repeats of one stretch don't meet in one task as raw events
+    ev = ev.groupBy("k", "b", "t").agg(F.sum("d").alias("d")).where("d <> 0").repartition("k", "b")
 
     by_time = Window.partitionBy("k", "b").orderBy("t")
     nets = ev.groupBy("k", "b").agg(F.sum("d").alias("net"))

@@ -86,6 +86,16 @@ def test_intervals_against_brute_force(spark):
     assert rows(intervals.periods_and_gaps(df.limit(0), "audio_id", intervals.to_ms(F.col("start")), intervals.to_ms(F.col("end")))) == []
 
 
+def test_events_are_summed_before_they_are_shuffled(spark):
+    df = spark.createDataFrame([("a", 0, 5000)] * 50, "audio_id string, s bigint, e bigint")
+    got = intervals.periods_and_gaps(df, "audio_id", F.col("s"), F.col("e"))
+    assert rows(got) == [("a", "period", 0, 5000)]
+    plan = intervals.periods_and_gaps(df, "audio_id", F.col("s"), F.col("e"))._jdf.queryExecution().executedPlan().toString().split("\n")
+    for at in [i for i, line in enumerate(plan) if "Generate explode" in line]:
+        up = next(i for i in range(at, -1, -1) if "Exchange" in plan[i])
+        assert any("partial_sum" in line for line in plan[up:at])
+
+
 def split(g, *texts):
     return packed.split_packed(pa.array(list(texts), pa.string()), g).to_pylist()
 
