@@ -105,7 +105,7 @@ class Mix:
 def read_targets(df: DataFrame) -> dict[str, tuple[float, int]]:
     """The fixed table (source, target_share, max_repeats); of a source given twice shares add up and the lower cap holds."""
     out: dict[str, tuple[float, int]] = {}
-    for r in df.select(folded(F.col("source")).alias("s"), "target_share", "max_repeats").where("s IS NOT NULL").distinct().orderBy("s").limit(10_000).collect():
+    for r in df.select(folded(F.col("source")).alias("s"), "target_share", "max_repeats").where("s IS NOT NULL").distinct().orderBy("s").collect():
         w, k = out.get(r["s"], (0.0, 1 << 30))
         out[r["s"]] = (w + (r["target_share"] or 0.0), min(k, r["max_repeats"] if r["max_repeats"] is not None else 1))
     return out

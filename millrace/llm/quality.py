@@ -285,5 +285,5 @@ def text_statistics(docs: DataFrame, common: Mapping[str, frozenset[str]]) -> Da
 
 def common_words(df: DataFrame) -> dict[str, frozenset[str]]:
     """The fixed table (lang, word, freq_rank) as sets; a dictionary of a few hundred rows, whatever the corpus' size."""
-    words = [r[0].strip().lower() for r in df.select("word").where("word IS NOT NULL").limit(100_000).collect() if r[0].strip()]
+    words = [r[0].strip().lower() for r in df.select("word").where("word IS NOT NULL").collect() if r[0].strip()]
     return {"spaced": frozenset(w for w in words if not CJK.search(w)), "unspaced": frozenset(w for w in words if CJK.search(w))}

@@ -594,7 +594,7 @@ SELECT vec_id, b[2] AS nearest, round(b[1], 6) AS distance, CASE WHEN b[1] < 0.6
 def outlier_grades(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings", "vec_id", "label", "embedding")
     # one centroid per label: as many as there are labels, which the clustering bounds
-    c = {r["label"]: list(r["centroid"]) for r in density.centroids(e, "label", "embedding").limit(1000).collect()}
+    c = {r["label"]: list(r["centroid"]) for r in density.centroids(e, "label", "embedding").collect()}
     n = similarity.nearest(e, "embedding", c)
     kind, _, _ = density.grade(F.col("distance"), F.col("label") % 3 != 0, F.lit(False), F.lit(False))
     return n.select("vec_id", "nearest", F.round("distance", 6).alias("distance"), kind.alias("grade"))

@@ -57,3 +57,8 @@ def test_targets(spark):
     df = spark.createDataFrame([(" A ", 0.1, 3), ("a", 0.2, 1), ("a", 0.2, 1), (None, 1.0, 1), ("b", None, None)], "source string, target_share double, max_repeats int")
     t = mixing.read_targets(df)
     assert set(t) == {"a", "b"} and t["a"] == (pytest.approx(0.3), 1) and t["b"] == (0.0, 1)
+
+
+def test_more_targets_than_ten_thousand(spark):
+    df = spark.range(10_002).selectExpr("concat('s', id) AS source", "1.0D AS target_share", "1 AS max_repeats")
+    assert len(mixing.read_targets(df)) == 10_002

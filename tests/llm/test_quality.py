@@ -58,6 +58,11 @@ def test_nothing_and_long():
     assert kind("x" * 300_000) == "junk"
 
 
+def test_more_common_words_than_a_hundred_thousand(spark):
+    df = spark.range(100_002).selectExpr("concat('w', id) AS word")
+    assert len(quality.common_words(df)["spaced"]) == 100_002
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, None, "z"), (None, "The band was on the stage.", "z"), (3, "- a\n- b\n- c", "z"), (3, "- a\n- b\n- c", "z")], "doc_id bigint, text string, kind string")
     got = quality.text_statistics(df, COMMON)

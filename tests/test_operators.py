@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import paths, text, vectors, vocabulary
 from millrace.operators import annotations, chunks, dedup, density, frames, gates, packed, ranking, reports, similarity, splits, tables, tags
 from millrace.operators.graph import connected_components
+from millrace.plans import core_queries
 from tests.conftest import rows
 
 
@@ -263,3 +264,10 @@ def test_packed_feeds_tags(spark):
     df = spark.createDataFrame([("t", "instrument---e-piano; instrument---drums")], "k string, v string")
     items = packed.unpack(df, F.col("k"), F.col("v"), packed.TAGS).select(F.substring_index("item", "---", -1).alias("tag"))
     assert {r["standard"] for r in tags.standardise(items, "tag", "instrument").collect()} == {"electric piano", "drums"}
+
+
+def test_nearest_of_more_than_a_thousand_centroids(spark, tmp_path):
+    df = spark.range(1002).selectExpr("id AS vec_id", "CAST(id AS int) AS label", "array(CAST(id AS float)) AS embedding")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = core_queries.outlier_grades(spark, str(tmp_path))
+    assert rows(got.select("vec_id", "nearest", "distance")) == sorted([(i, i, 0.0) for i in range(1002)], key=repr)
