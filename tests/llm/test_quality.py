@@ -58,6 +58,12 @@ def test_nothing_and_long():
     assert kind("x" * 300_000) == "junk"
 
 
+def test_sentence_marks_before_long_padding():
+    for tail in (" " * 60, "”" * 50, "🎵" * 45, "  ’)" * 20, ""):
+        assert quality.describe("The band was on." + tail + "\nIt was late" + tail + "\nWas it late?!" + tail, COMMON)[5] == 2 / 3
+    assert quality.describe("." * 200_000 + "x", COMMON)[5] == 0
+
+
 def test_more_common_words_than_a_hundred_thousand(spark):
     df = spark.range(100_002).selectExpr("concat('w', id) AS word")
     assert len(quality.common_words(df)["spaced"]) == 100_002
