@@ -11,23 +11,14 @@ from millrace.functions import paths, text, vectors
 from millrace.functions.strings import plain_hash
 from millrace.operators import chunks, dedup, density, frames, gates, kernels, packed, ranking, reports, similarity, splits, tables, tags
 from millrace.operators.graph import connected_components
+from millrace.plans.book import Book
 from millrace.plans.pipeline import Pipeline, Result, Stage
 from millrace.runtime import cut, shared_dir, spread
 from millrace.sources.tables import table
 from millrace.streaming import windows
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return add
+BOOK = Book()
+query = BOOK.query
 
 
 HASH = r"trim(regexp_replace(lower(regexp_replace(sha256, '^\s+|\s+$', '', 'g')), '^sha256:', ''))"
@@ -161,14 +152,6 @@ def email_redacted(spark: SparkSession, d: str) -> DataFrame:
     return df.select("doc_id", F.col("n_email").cast("bigint").alias("email"), F.col("text").alias("clean"))
 
 
-@query()
-def pii_redacted(spark: SparkSession, d: str) -> DataFrame:
-    """All nine kinds, one after another; look-behinds that DuckDB lacks, so checked on a fixture."""
-    df, kinds = text.redact(spread(table(spark, d, "documents", "doc_id", "text")), "text")
-    n = {k: F.col(f"n_{k}") for k in kinds}
-    return df.select("doc_id", F.col("text").alias("clean"), text.total(n).alias("removed"), text.type_list(n).alias("types"))
-
-
 def _safety_sql() -> str:
     parts = [f"{w * 0.2} * CAST(contains(lower(t), '{k}') AS INT)" for w, ks in text.SAFETY_KEYWORDS.values() for k in ks]
     parts += [f"{w * 0.15} * len(regexp_extract_all(t, '(?i){p}'))" for w, p in text.SAFETY_PATTERNS.values()]
@@ -181,24 +164,6 @@ def text_safety(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", F.round(score, 6).alias("score"), safe.alias("safe"))
 
 
-def _items(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    rows = table(spark, d, "dataset_joined", "track_id", "tags").distinct()
-    items = packed.unpack(rows, F.col("track_id"), F.col("tags"), packed.TAGS)
-    return items.where(F.col("item").startswith(kind + "---")).select(F.col("record_key").alias("track_id"), "pos", F.expr(f"substring(item, {len(kind) + 4})").alias("tag"))
-
-
-@query()
-def standard_instruments(spark: SparkSession, d: str) -> DataFrame:
-    """Standard names of the instruments in packed tags; needs the split of the field, so checked on a fixture."""
-    return tags.standardise(_items(spark, d, "instrument"), "tag", "instrument")
-
-
-@query()
-def mapped_tags(spark: SparkSession, d: str) -> DataFrame:
-    rows = _items(spark, d, "instrument").unionByName(_items(spark, d, "mood")).groupBy("track_id").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
-    return rows.select("track_id", tags.map_tags(F.col("tags")).alias("m")).select("track_id", "m.*")
-
-
 @query("SELECT event_type AS tag, count(*) AS n, arg_min(event_id, (ts, event_id)) AS sample FROM events GROUP BY 1")
 def tag_frequency(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events", "event_type", "event_id", "ts")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.strings import folded
 from millrace.operators import diff, intervals, packed
+from millrace.plans.tag_queries import PACKED_SQL
 from millrace.sources.tables import table
 
 
@@ -68,4 +69,5 @@ g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (PART
 p AS (SELECT audio_id, n, min(s) s, max(e) e FROM g GROUP BY 1, 2)
 SELECT audio_id, 'period' AS kind, s AS start_ms, e AS end_ms FROM p
 UNION ALL SELECT * FROM (SELECT audio_id, 'gap', e, lead(s) OVER (PARTITION BY audio_id ORDER BY s) ns FROM p) WHERE ns IS NOT NULL""",
+    "p4_found": PACKED_SQL,
 }

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.plans import core_queries, data_queries
-
-QUERIES = {**data_queries.QUERIES, **core_queries.QUERIES}
-ORACLE = {**data_queries.ORACLE, **core_queries.ORACLE}
+from millrace.plans import core_queries, data_queries, tag_queries
+
+BOOKS = (core_queries.BOOK, tag_queries.BOOK)
+QUERIES = dict(data_queries.QUERIES)
+ORACLE = dict(data_queries.ORACLE)
+for _book in BOOKS:
+    QUERIES |= _book.queries
+    ORACLE |= _book.sql
 
 flagship = core_queries.flagship

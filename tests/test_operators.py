@@ -76,8 +76,8 @@ def test_tags(spark):
     )
     m = spark.createDataFrame([(["Piano ", "bass", "electric bass", "happy", "R&B", "low quality", "kazoo"],), (None,)], "t array<string>").select(tags.map_tags(F.col("t")).alias("m")).select("m.*").collect()
     assert tuple(m[0]) == ([0, 34], ["happy"], ["r&b"], ["kazoo"]) and tuple(m[1]) == ([], [], [], [])
-    lab = spark.range(1).select(tags.label_texts(F.array(F.lit(0), F.lit(5)), {0: "piano"}).alias("t")).first()["t"]
-    assert lab == "0:piano, unknown_gm(5)"
+    lab = spark.range(1).select(tags.program_texts(F.array(F.lit(0), F.lit(5), F.lit(24))).alias("t")).first()["t"]
+    assert lab == "0:piano, unknown_gm(5), 24:acoustic guitar"
     lst = spark.createDataFrame([("['a', \"b's\"]",), ("oops",), (None,)], "t string").select(text.python_list(F.col("t")).alias("l")).collect()
     assert [r["l"] for r in lst] == [["a", "b's"], [], []]
 
