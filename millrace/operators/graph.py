@@ -50,3 +50,34 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
         raise RuntimeError(f"not settled after {max_rounds} rounds")
     stars = now.df
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(stars.select("v", "v").distinct())
+
+
+def accepted_in_order(nodes: DataFrame, edges: DataFrame, cliques: bool = False, max_rounds: int = 10_000) -> DataFrame:
+    """``(id, clique, rank, ok)``: nodes taken one after another by ``rank``; one is accepted unless it has an accepted neighbour.
+
+    ``nodes`` is (id, clique, rank), ranks being distinct; ``edges`` (late, early), early being of the lower rank. With
+    ``cliques`` the nodes of one clique (null is none) are neighbours of one another without an edge: only a clique's earliest accepted and earliest
+    open node matter, so that no clique forms a large group. In a round every node is settled whose earlier neighbours
+    are, and edges of settled nodes go; rounds are as many as the longest chain of open neighbours, which for nodes in no
+    particular order grows with the logarithm of their number.
+    """
+    state, s = None, nodes.select("id", "clique", "rank", F.lit(None).cast("boolean").alias("ok"))
+    for _ in range(max_rounds):
+        early = edges.join(s.select(F.col("id").alias("early"), "ok"), "early").groupBy(F.col("late").alias("id")).agg(
+            F.max(F.coalesce(F.col("ok"), F.lit(False))).alias("hit"), F.max(F.col("ok").isNull()).alias("wait")
+        )
+        n = s.join(early, "id", "left")
+        hit, wait = F.coalesce("hit", F.lit(False)), F.coalesce("wait", F.lit(False))
+        if cliques:
+            lead = s.where("clique IS NOT NULL").groupBy("clique").agg(F.min(F.when(F.col("ok"), F.col("rank"))).alias("taken"), F.min(F.when(F.col("ok").isNull(), F.col("rank"))).alias("open"))
+            n = n.join(lead, "clique", "left")
+            hit = hit | F.coalesce(F.col("taken") < F.col("rank"), F.lit(False))
+            wait = wait | F.coalesce(F.col("open") < F.col("rank"), F.lit(False))
+        ok = F.when(F.col("ok").isNotNull(), F.col("ok")).when(hit, F.lit(False)).when(~wait, F.lit(True))
+        after = Table(n.select("id", "clique", "rank", ok.alias("ok")), "state", count=F.col("ok").isNull())
+        if state is not None:
+            state.drop()
+        state, s = after, after.df
+        if not state.counted:
+            return s
+    raise RuntimeError(f"not settled after {max_rounds} rounds")

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,12 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Table:
-    """A DataFrame written to the shared folder: its lineage is cut and it survives the loss of executors."""
+    """A DataFrame written to the shared folder: its lineage is cut and it survives the loss of executors.
 
-    def __init__(self, df: DataFrame, name: str = "t"):
+    ``count`` is a condition; ``counted`` is then the number of rows for which it holds, counted while they are written.
+    """
+
+    def __init__(self, df: DataFrame, name: str = "t", count: Column | None = None):
         spark = df.sparkSession
         self.path = f"{shared_dir(spark).rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        if count is None:
+            df.write.parquet(self.path)
+        else:
+            seen = Observation()
+            df.observe(seen, F.count_if(count).alias("n")).write.parquet(self.path)
+            self.counted = seen.get["n"]
         self._jpath = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         self._fs = self._jpath.getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.deleteOnExit(self._jpath)
