@@ -3,21 +3,29 @@
 A string of length l is cut into tau + 1 segments at fixed places; a string within tau edits of it holds at least one of
 them unchanged, at most tau places away. The index stores the segments of accepted strings by length, number and content;
 a batch probes it with its own substrings at the places where a segment can stand, and candidates are verified by their
-distance. Only accepted records are stored, as only they can reject. A batch scans the stored tables and keeps of them
-what its hashes, heads and segments ask for; only that is shuffled further. Equal hashes and cut ones are found by
-equality joins of the same kind.
+distance. Only accepted records are stored, as only they can reject.
+
+Here a segment's key also holds a slot of the file's size, as records with other sizes can't match. The same index holds
+the whole hash and, for cut-off hashes, its beginning. It is stored by buckets of its keys: a batch reads the buckets that
+its own keys fall in and keeps of them what its keys ask for; only that is joined.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.graph import accepted_in_order
 from millrace.runtime import Table, cut
 
-#: A segment held by more strings than this is cut further before they are paired.
+#: A key held by more strings than this is cut further before they are paired.
 CROWDED = 500
+#: Buckets of a stored index.
+BUCKETS = 32
 FULL, PREFIX, SPREAD, TAU = 64, 16, 64, 2
+EQUAL, SEGMENT, HEAD = 0, 1, 2
 
 
 def _bounds(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
@@ -27,17 +35,12 @@ def _bounds(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
     return start, stop - start
 
 
-def _key(length: Column, i: Column, content: Column) -> Column:
-    """A segment's length, number and content as one number: equal segments meet, and what meets by chance is verified away."""
-    return F.xxhash64(length, i, content)
-
-
 def segments(strings: DataFrame, tau: int) -> DataFrame:
     """``(s, i, key)``: the tau + 1 segments of each distinct string ``s`` of more than tau characters."""
     df = strings.select("s").where(F.length("s") > tau)
     df = df.withColumn("i", F.explode(F.array(*[F.lit(i) for i in range(tau + 1)])))
     start, n = _bounds(F.length("s"), F.col("i"), tau + 1)
-    return df.select("s", "i", _key(F.length("s"), F.col("i"), F.expr("s").substr(start + 1, n)).alias("key"))
+    return df.select("s", "i", F.xxhash64(F.length("s"), "i", F.col("s").substr(start + 1, n)).alias("key"))
 
 
 def probes(strings: DataFrame, tau: int, substitutions: bool) -> DataFrame:
@@ -55,7 +58,7 @@ def probes(strings: DataFrame, tau: int, substitutions: bool) -> DataFrame:
     # no more edits may lie before the segment than are needed, nor after it
     d = F.col("own") - F.col("len")
     df = df.where((F.col("at") >= 0) & (F.col("at") + F.col("n") <= F.col("own")) & (F.abs(F.col("at") - start) + F.abs(d - (F.col("at") - start)) <= tau))
-    return df.select("s", "i", _key(F.col("len"), F.col("i"), F.expr("s").substr(F.col("at") + 1, F.col("n"))).alias("key")).distinct()
+    return df.select("s", "i", F.xxhash64("len", "i", F.col("s").substr(F.col("at") + 1, F.col("n"))).alias("key")).distinct()
 
 
 def _distance_within(a: Column, b: Column, tau: int, substitutions: bool) -> Column:
@@ -65,38 +68,71 @@ def _distance_within(a: Column, b: Column, tau: int, substitutions: bool) -> Col
     return F.levenshtein(a, b, tau) >= 0
 
 
+def _deeper(df: DataFrame, tau: int) -> DataFrame:
+    """The rows of a crowded segment key, once for each part of what is left of the string, cut again into tau + 1 parts.
+
+    With substitutions the string's rest must agree in one of them, too. A rest of at most tau characters isn't cut:
+    whatever it holds, the strings are within tau.
+    """
+    start, n = _bounds(F.length("rest"), F.col("i"), tau + 1)
+    left = F.concat(F.col("rest").substr(F.lit(1), start), F.col("rest").substr(start + n + 1, F.length("rest")))
+    df = df.withColumn("rest", F.when(F.length("rest") > tau, left).otherwise(F.col("rest")))
+    more = F.when(F.length("rest") > tau, F.array(*[F.lit(j) for j in range(tau + 1)])).otherwise(F.array(F.lit(0)))
+    df = df.withColumn("i", F.explode(more))
+    start, n = _bounds(F.length("rest"), F.col("i"), tau + 1)
+    part = F.when(F.length("rest") > tau, F.xxhash64("key", "i", F.col("rest").substr(start + 1, n))).otherwise(F.col("key"))
+    return df.withColumn("key", part)
+
+
+def _prefixes(df: DataFrame, asks: bool) -> DataFrame:
+    """The rows of a crowded head key, by the prefixes under which a shorter hash meets a longer one.
+
+    A row stands once for itself and once for each shorter prefix of up to ``FULL`` characters; of two rows that meet one
+    stands for itself, so that only hashes meet of which one begins with the other (beyond ``FULL``: with its first ``FULL`` characters).
+    """
+    n = F.length("sha")
+    own = F.struct(F.lit(asks).alias("side"), F.least(n, F.lit(FULL)).alias("len"))
+    upto = F.least(n - 1, F.lit(FULL))
+    shorter = F.when(upto >= PREFIX, F.transform(F.sequence(F.lit(PREFIX), upto), lambda k: F.struct(F.lit(not asks).alias("side"), k.alias("len"))))
+    df = df.withColumn("x", F.explode(F.concat(F.array(own), F.coalesce(shorter, F.array().cast("array<struct<side: boolean, len: int>>")))))
+    return df.withColumn("key", F.xxhash64("key", "x.side", F.col("sha").substr(F.lit(1), F.col("x.len")))).drop("x")
+
+
+def _meeting(ask: DataFrame, held: DataFrame, crowded: int, on, deeper) -> list[DataFrame]:
+    """Joins of ``ask`` and ``held`` by ``key``, that of crowded keys after both have been cut ``deeper``, as often as it takes."""
+    found = []
+    for _ in range(16):
+        many = held.groupBy("key").agg(F.count("*").alias("n"))
+        written = Table(held.join(many, "key"), "held", count=F.col("n") > crowded)
+        light, heavy = written.df.where(F.col("n") <= crowded).drop("n"), written.df.where(F.col("n") > crowded).drop("n")
+        if not written.counted:
+            found.append(on(ask, light))
+            return found
+        keys = heavy.select("key").distinct()
+        found.append(on(ask, light))
+        ask, held = cut(deeper(ask.join(keys, "key", "left_semi"), True), "ask"), deeper(heavy, False)
+    found.append(on(ask, held))  # by now all of a string but tau places agrees
+    return found
+
+
 def near_strings(batch: DataFrame, stored: DataFrame | None, tau: int, substitutions: bool = False, crowded: int = CROWDED) -> DataFrame:
     """``(a, b)``, a before b: distinct pairs of strings within tau edits, both of ``batch`` (s) or one of it and one stored.
 
-    ``stored`` holds segments as ``segments`` gives them, of strings that aren't in ``batch``. Where a segment is held by more than ``crowded`` strings they
-    are paired only if, of the rest of the string cut again into tau + 1, some part agrees too: with substitutions that
-    must be so for strings within tau, so that a crowded segment makes no quadratic candidates and loses none.
+    ``stored`` holds segments as ``segments`` gives them, of strings that aren't in ``batch``. With substitutions the strings of a segment held by more
+    than ``crowded`` are paired only if some part of the rest agrees, too, and so on, which loses no pair: what is left
+    to be paired in the end are strings within tau of one another.
     """
-    ask = probes(batch, tau, substitutions)
-    index = ask if substitutions else segments(batch, tau)
+    ask = probes(batch, tau, substitutions).withColumn("rest", F.col("s"))
+    held = segments(batch, tau)
     if stored is not None:  # of the history only what the batch asks for
-        index = index.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi"))
-    held = index.groupBy("key").agg(F.count("*").alias("held"))
-    if substitutions:  # a string finds itself
-        held = held.where("held > 1")
-    ask, index = ask.join(held, "key"), index.join(held, "key")
-    key = ["key"]
-    if substitutions:
-        more = F.when(F.col("held") > crowded, F.array(*[F.lit(j) for j in range(tau + 1)])).otherwise(F.array(F.lit(-1)))
-
-        def deeper(df: DataFrame) -> DataFrame:
-            start, n = _bounds(F.length("s"), F.col("i"), tau + 1)
-            rest = F.concat(F.expr("s").substr(F.lit(1), start), F.expr("s").substr(start + n + 1, F.length("s")))
-            df = df.withColumn("rest", rest).withColumn("j", F.explode(more))
-            s2, n2 = _bounds(F.length("rest"), F.col("j"), tau + 1)
-            part = F.when(F.col("j") < 0, F.lit(0)).otherwise(F.xxhash64("j", F.expr("rest").substr(s2 + 1, n2)))
-            return df.select("key", part.alias("part"), "s")
-
-        ask, index, key = deeper(ask), deeper(index), ["key", "part"]
-    x = ask.select(*key, F.col("s").alias("a"))
-    y = index.select(*key, F.col("s").alias("b"))
-    pairs = x.join(y, key).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.where(_distance_within(F.col("a"), F.col("b"), tau, substitutions))
+        held = held.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi"))
+    held = held.withColumn("rest", F.col("s"))
+    pair = lambda x, y: x.select("key", F.col("s").alias("a")).join(y.select("key", F.col("s").alias("b")), "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = _meeting(ask, held, crowded, pair, lambda df, _: _deeper(df, tau)) if substitutions else [pair(ask, held)]
+    pairs = found[0]
+    for f in found[1:]:
+        pairs = pairs.unionByName(f)
+    return pairs.distinct().where(_distance_within(F.col("a"), F.col("b"), tau, substitutions))
 
 
 def classes_of(records: DataFrame) -> DataFrame:
@@ -108,95 +144,86 @@ def classes_of(records: DataFrame) -> DataFrame:
     return c.withColumn("cid", F.unhex(F.md5(F.concat_ws("/", "sha", F.coalesce(F.col("bytes").cast("string"), F.lit(""))))))
 
 
-def _near(new: DataFrame, old_segments: DataFrame | None) -> DataFrame:
-    """``(a, b)``: pairs of whole hashes within ``TAU`` substitutions, at least one of them new."""
-    full = new.where(f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'").select(F.col("sha").alias("s")).distinct()
-    return cut(near_strings(full, old_segments, TAU, substitutions=True), "near")
-
+def entries(classes: DataFrame, slots: tuple[int, ...] = (0,)) -> DataFrame:
+    """What stands in the index for ``classes``, with ``kind``, ``i`` and ``key``: the hash; its segments, where it is whole and its
+    size known, each with its size's slot; its beginning, where it is long enough and its size known.
 
-def _head() -> Column:
-    """The begin of a hash, with the size; null where cut-off hashes aren't compared."""
-    return F.when(F.col("bytes").isNotNull() & (F.length("sha") >= PREFIX), F.xxhash64(F.substring("sha", 1, PREFIX), "bytes"))
-
-
-def matching(old: DataFrame, new: DataFrame, near: DataFrame) -> DataFrame:
-    """The stored classes that may match a new one: of its hash, of its head, or of a hash near to it.
-
-    Stored classes are accepted and settled, so that no others can decide anything about the batch.
+    A probe has the neighbouring ``slots``, too, as sizes up to ``SPREAD`` apart lie in the same or a neighbouring one.
     """
-    asked = new.select("sha").union(near.select("a")).union(near.select("b")).select(F.xxhash64("sha").alias("key"))
-    asked = asked.union(new.select(_head())).where("key IS NOT NULL").distinct()
-    held = old.withColumn("key", F.explode(F.array(F.xxhash64("sha"), _head())))
-    return held.join(asked, "key", "left_semi").select(old.columns).distinct()
-
-
-def _edges(new: DataFrame, old: DataFrame | None, near: DataFrame) -> DataFrame:
-    """``(late, early)``: classes with different hashes that match, at least one of them new."""
-    every = new if old is None else new.unionByName(old)
-    involved = near.select(F.col("a").alias("sha")).union(near.select("b")).distinct()
-    side = every.where("bytes IS NOT NULL").join(involved, "sha", "left_semi").withColumn("slot", F.floor(F.col("bytes") / F.lit(SPREAD + 1)))
-    a = near.join(side.select(F.col("sha").alias("a"), F.col("cid").alias("ca"), F.col("first").alias("fa"), F.col("bytes").alias("ba"), F.col("slot").alias("own")), "a")
-    a = a.withColumn("slot", F.explode(F.array(*[F.col("own") + x for x in (-1, 0, 1)])))
-    b = side.select(F.col("sha").alias("b"), F.col("cid").alias("cb"), F.col("first").alias("fb"), F.col("bytes").alias("bb"), "slot")
-    typed = a.join(b, ["b", "slot"]).where(F.abs(F.col("ba") - F.col("bb")) <= SPREAD).select("ca", "fa", "cb", "fb")
-    heads = every.select(_head().alias("head"), "bytes", "sha", "cid", "first").where("head IS NOT NULL")
-    shared = heads.groupBy("head").agg(F.min(F.length("sha")).alias("lo"), F.max(F.length("sha")).alias("hi")).where("lo < hi").select("head")
-    heads = heads.join(shared, "head")
-    short = heads.where(f"sha RLIKE '^[0-9a-f]{{{PREFIX},}}$'").select("head", F.col("bytes").alias("ba"), F.col("sha").alias("sa"), F.col("cid").alias("ca"), F.col("first").alias("fa"))
-    longer = heads.select("head", F.col("bytes").alias("bb"), F.col("sha").alias("sb"), F.col("cid").alias("cb"), F.col("first").alias("fb"))
-    cut_off = short.join(longer, "head").where("ba = bb AND length(sa) < length(sb) AND startswith(sb, sa)").select("ca", "fa", "cb", "fb")
-    late = F.col("fa") > F.col("fb")
-    both = typed.unionByName(cut_off)
-    return both.select(F.when(late, F.col("ca")).otherwise(F.col("cb")).alias("late"), F.when(late, F.col("cb")).otherwise(F.col("ca")).alias("early")).distinct()
-
-
-def decide(new: DataFrame, old: DataFrame | None = None, old_segments: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
-    """``(cid, sha, bytes, first, by)`` for the new classes: ``by`` is the earliest accepted class that rejects it, or null.
-
-    Records are taken in the order of ``first``, and one is rejected if it matches one accepted before. A class is
-    settled as soon as all earlier ones that it matches are; classes without a match are settled at once, and a round
-    settles every class whose earlier matches are settled, so that rounds are as many as the longest chain of matches.
-    Within a hash the order itself says who comes earlier: no pairs of equal hashes are made.
+    found = [f"named_struct('kind', {EQUAL}, 'i', 0, 'key', xxhash64({EQUAL}, sha))"]
+    for i in range(TAU + 1):
+        a, b = FULL * i // (TAU + 1), FULL * (i + 1) // (TAU + 1)
+        found += [
+            f"CASE WHEN whole THEN named_struct('kind', {SEGMENT}, 'i', {i}, 'key', xxhash64({SEGMENT}, {FULL}, {i}, substring(sha, {a + 1}, {b - a}), slot + {s}L)) END" for s in slots
+        ]
+    found.append(f"CASE WHEN bytes IS NOT NULL AND length(sha) >= {PREFIX} THEN named_struct('kind', {HEAD}, 'i', 0, 'key', xxhash64({HEAD}, substring(sha, 1, {PREFIX}), bytes)) END")
+    own = ("cid", "sha", "bytes", "first")
+    rows = classes.selectExpr(*own, f"floor(bytes / {SPREAD + 1}) AS slot", f"bytes IS NOT NULL AND sha RLIKE '^[0-9a-f]{{{FULL}}}$' AS whole")
+    return rows.selectExpr(*own, f"explode(filter(array({', '.join(found)}), e -> e IS NOT NULL)) AS e").select(*own, "e.*")
+
+
+def _matches() -> Column:
+    """Whether two classes that met under a key, ``sha`` and ``bytes`` of the later and ``sha2`` and ``bytes2`` of the earlier one, match."""
+    differ = "size(filter(sequence(1, length(sha)), i -> substring(sha, i, 1) <> substring(sha2, i, 1)))"
+    near = f"sha <> sha2 AND abs(bytes - bytes2) <= {SPREAD} AND length(sha) = length(sha2) AND {differ} <= {TAU}"
+    short, long = "if(length(sha) < length(sha2), sha, sha2)", "if(length(sha) < length(sha2), sha2, sha)"
+    begins = f"length(sha) <> length(sha2) AND bytes = bytes2 AND {short} RLIKE '^[0-9a-f]{{{PREFIX},}}$' AND startswith({long}, {short})"
+    return F.expr(f"CASE kind WHEN {EQUAL} THEN sha = sha2 WHEN {SEGMENT} THEN {near} ELSE {begins} END")
+
+
+def matches(new: DataFrame, stored: DataFrame | None, crowded: int = CROWDED) -> DataFrame:
+    """``(late, early, first, old)``: classes of ``new`` with each class before them that they match, stored ones being ``old``.
+
+    Those of ``new`` with equal hashes aren't paired. ``stored`` are entries.
     """
-    new = cut(new, "new")
-    near = _near(new, old_segments)
-    if old is not None:
-        old = cut(matching(old, new, near), "matching")
-    edges = cut(_edges(new, old, near), "edges")
-    shared = new.select("sha") if old is None else new.select("sha").unionByName(old.select("sha"))
-    shared = shared.groupBy("sha").agg(F.count("*").alias("k")).where("k > 1").select("sha")
-    linked = edges.select(F.col("late").alias("cid")).union(edges.select("early")).distinct()
-    every = new.withColumn("ok", F.lit(None).cast("boolean"))
-    if old is not None:
-        every = every.unionByName(old.withColumn("ok", F.lit(True)))
-    tied = every.join(shared, "sha").unionByName(every.join(linked, "cid").select(every.columns)).distinct()
-    state = Table(tied, "state")
-    for _ in range(max_rounds):
-        s = state.df
-        early = edges.join(s.select(F.col("cid").alias("early"), "ok"), "early").groupBy(F.col("late").alias("cid")).agg(
-            F.max(F.coalesce(F.col("ok"), F.lit(False))).alias("hit"), F.max(F.col("ok").isNull()).alias("wait")
-        )
-        # of a hash only its earliest accepted and earliest open class matter, so that no hash forms a large group
-        lead = s.groupBy("sha").agg(F.min(F.when(F.col("ok"), F.col("first"))).alias("taken"), F.min(F.when(F.col("ok").isNull(), F.col("first"))).alias("open"))
-        s = s.join(lead, "sha").withColumn("hit0", F.col("taken") < F.col("first")).withColumn("wait0", F.col("open") < F.col("first"))
-        s = s.join(early, "cid", "left")
-        hit = F.coalesce("hit", F.lit(False)) | F.coalesce("hit0", F.lit(False))
-        wait = F.coalesce("wait", F.lit(False)) | F.coalesce("wait0", F.lit(False))
-        ok = F.when(F.col("ok").isNotNull(), F.col("ok")).when(hit, F.lit(False)).when(~wait, F.lit(True))
-        after = Table(s.select("cid", "sha", "bytes", "first", ok.alias("ok")), "state")
-        state.drop()
-        state = after
-        if not state.df.where("ok IS NULL").limit(1).count():
-            break
-    else:
-        raise RuntimeError(f"not settled after {max_rounds} rounds")
-    s = state.df
-    lead = s.where("ok").groupBy("sha").agg(F.min(F.struct("first", "cid")).alias("lead"))
-    by_sha = s.where("NOT ok").join(lead, "sha").where("lead.first < first").select("cid", "lead")
-    by_edge = edges.join(s.where("ok").select(F.col("cid").alias("early"), F.struct("first", "cid").alias("lead")), "early").select(F.col("late").alias("cid"), "lead")
-    lost = by_edge.join(s.where("NOT ok").select("cid"), "cid").unionByName(by_sha)
-    best = lost.groupBy("cid").agg(F.min("lead").alias("by"))
-    return new.join(best, "cid", "left").select("cid", "sha", "bytes", "first", F.struct(F.col("by.first.id").alias("id"), F.col("by.first.ts").alias("ts")).alias("rep"), F.col("by.cid").alias("by"))
+    ask = entries(new, (-1, 0, 1))
+    held = entries(new).where(F.col("kind") != EQUAL).withColumn("old", F.lit(False))
+    if stored is not None:
+        held = held.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi").withColumn("old", F.lit(True)))
+    ask, held = ask.withColumn("rest", F.col("sha")), held.withColumn("rest", F.col("sha"))
+
+    def pair(x: DataFrame, y: DataFrame) -> DataFrame:
+        y = y.select("key", F.col("cid").alias("early"), F.col("sha").alias("sha2"), F.col("bytes").alias("bytes2"), F.col("first").alias("first2"), "old")
+        met = x.join(y, "key").where("first2 < first").where(_matches())
+        return met.select(F.col("cid").alias("late"), "early", F.col("first2").alias("first"), "old")
+
+    def deeper(df: DataFrame, asks: bool) -> DataFrame:
+        return _deeper(df.where(F.col("kind") == SEGMENT), TAU).unionByName(_prefixes(df.where(F.col("kind") == HEAD), asks)).unionByName(df.where(F.col("kind") == EQUAL))
+
+    found = _meeting(ask, held, crowded, pair, deeper)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return cut(out.distinct(), "matches")
+
+
+def decide(new: DataFrame, stored: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
+    """``(cid, sha, bytes, first, rep)`` for the new classes: ``rep`` is the earliest accepted record that rejects it, or null.
+
+    Records are taken in the order of ``first``, and one is rejected if it matches one accepted before. Stored classes are
+    accepted, so that what matches one is settled at once; of the rest, only those that match one another wait for one another.
+    Of equal hashes with different sizes the first accepted one rejects all later ones. ``new`` is read several times and
+    should be a written table.
+    """
+    edges = matches(new, stored, crowded)
+    known = edges.where("old").groupBy(F.col("late").alias("cid")).agg(F.min("first").alias("rep"))
+    rest = new.join(known, "cid", "left_anti")
+    ids = rest.select("cid")
+    within = edges.where("NOT old").join(ids.toDF("late"), "late", "left_semi").join(ids.toDF("early"), "early", "left_semi")
+    within = cut(within.select("late", "early", "first"), "within")
+    shared = rest.groupBy("sha").agg(F.count("*").alias("k"), F.min("first").alias("lead")).where("k > 1").select("sha", "lead")
+    tied = within.select(F.col("late").alias("cid")).union(within.select("early")).distinct()
+    mixed = rest.join(tied, "cid", "left_semi").select("sha").distinct()
+    nodes = rest.join(mixed, "sha", "left_semi").select(F.col("cid").alias("id"), F.col("sha").alias("clique"), F.col("first").alias("rank"))
+    settled = accepted_in_order(nodes, within.select("late", "early"), cliques=True)
+    good = settled.where("ok")
+    by_edge = within.join(good.select(F.col("id").alias("early")), "early").select(F.col("late").alias("cid"), F.col("first").alias("rep"))
+    lead = good.select(F.col("clique").alias("sha"), F.col("rank").alias("lead"))
+    by_hash = settled.where("NOT ok").join(lead, settled["clique"] == lead["sha"]).where("lead < rank").select(F.col("id").alias("cid"), F.col("lead").alias("rep"))
+    lost = by_edge.join(settled.where("NOT ok").select(F.col("id").alias("cid")), "cid", "left_semi").unionByName(by_hash)
+    plain = rest.join(shared.join(mixed, "sha", "left_anti"), "sha").where("lead < first").select("cid", F.col("lead").alias("rep"))
+    best = lost.unionByName(plain).groupBy("cid").agg(F.min("rep").alias("rep")).unionByName(known)
+    return new.join(best, "cid", "left").select("cid", "sha", "bytes", "first", "rep")
 
 
 def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
@@ -204,40 +231,88 @@ def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
 
     Of an accepted class the first record is accepted and the rest repeat it; of a rejected one all repeat what it repeats.
     """
-    d = decided.select("sha", F.col("bytes").alias("b"), "first", F.coalesce(F.when(F.col("by").isNotNull(), F.col("rep.id")), F.col("first.id")).alias("repeats"), F.col("by").isNotNull().alias("out"))
+    d = decided.select("sha", F.col("bytes").alias("b"), "first", F.coalesce("rep.id", "first.id").alias("repeats"), F.col("rep").isNotNull().alias("out"))
     r = records.join(d, (records["sha"] == d["sha"]) & records["bytes"].eqNullSafe(d["b"]))
     return r.where(F.col("out") | (F.struct("ts", "id") != F.col("first"))).select("id", "repeats").distinct()
 
 
 class History:
-    """What has been accepted so far: classes and the segments of their hashes, as tables in a folder.
+    """The index of what has been accepted so far, in a folder.
 
-    The folder alone tells what is stored, so that another object, driver or day goes on where the last one ended. A
-    batch that is added again, as after a lost driver, has the same rejects and stores no class twice.
+    Each batch adds a run: its entries, partitioned by buckets of their keys. A log file per batch names the runs that
+    count and is written last, by a rename, so that a batch that fails midway leaves nothing that is read; the folder
+    alone tells what is stored, and another object, driver or day goes on where the last one ended. One writer at a time.
+    A batch that is added again, as after a lost driver, has the same rejects and stores no class twice.
     """
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
+    def __init__(self, path: str, buckets: int = BUCKETS):
+        self.path, self.buckets = path.rstrip("/"), buckets
 
-    def _read(self, spark, name: str, like: DataFrame) -> DataFrame | None:
-        """A stored table, or none where nothing has been stored. Files of an unfinished first write don't count."""
+    def _hadoop(self, spark, name: str):
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        return spark.read.schema(like.schema).parquet(f"{self.path}/{name}") if fs.exists(path) else None
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+    def _log(self, spark) -> tuple[int, dict]:
+        """Number and contents of the last log file."""
+        fs, path = self._hadoop(spark, "log")
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        last = max((int(n[:-5]) for n in names if n.endswith(".json")), default=0)
+        if not last:
+            return 0, {"buckets": self.buckets, "runs": []}
+        file = fs.open(self._hadoop(spark, f"log/{last:08}.json")[1])
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+        file.close()
+        return last, json.loads(text)
+
+    def _commit(self, spark, n: int, log: dict) -> None:
+        fs, path = self._hadoop(spark, f"log/{n:08}.json")
+        _, draft = self._hadoop(spark, f"log/{n:08}.draft")
+        out = fs.create(draft, True)
+        out.write(json.dumps(log).encode())
+        out.close()
+        if not fs.rename(draft, path):
+            raise RuntimeError(f"another writer has stored batch {n}")
+
+    def stored(self, new: DataFrame) -> DataFrame | None:
+        """The stored entries of the buckets that the keys of ``new`` fall in; at most ``buckets`` numbers come to the driver."""
+        spark = new.sparkSession
+        _, log = self._log(spark)
+        if not log["runs"]:
+            return None
+        shape = entries(new).schema.add("run", "integer").add("b", "integer")
+        df = spark.read.schema(shape).option("basePath", self.path).parquet(*[f"{self.path}/run={r}" for r in log["runs"]])
+        if new.limit(log["buckets"] + 1).count() <= log["buckets"]:  # a larger batch asks for all of them
+            asked = entries(new, (-1, 0, 1)).select(F.pmod("key", F.lit(log["buckets"])).cast("int")).distinct().collect()
+            df = df.where(F.col("b").isin(sorted(r[0] for r in asked)))
+        return df.drop("run", "b")
+
+    def _write(self, df: DataFrame, run: int, buckets: int) -> None:
+        df = df.withColumn("b", F.pmod("key", F.lit(buckets)).cast("int"))
+        df.repartition("b").sortWithinPartitions("b", "key").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/run={run}")
 
     def add(self, records: DataFrame) -> DataFrame:
         """Rejects of a batch ``records`` (id, ts, sha, bytes) later than all before it; what is accepted is appended."""
         spark = records.sparkSession
-        new = classes_of(records)
-        old, old_segments = self._read(spark, "classes", new), self._read(spark, "segments", segments(new.select(F.col("sha").alias("s")), TAU))
-        decided = cut(decide(new, old, old_segments), "decided")
+        new = cut(classes_of(records), "classes")
+        stored = self.stored(new)
+        decided = cut(decide(new, stored), "decided")
         out = cut(rejected(records, decided), "rejected")
-        good = decided.where("by IS NULL").select("sha", "bytes", "first", "cid")
-        if old is not None:
-            good = good.join(old.select("cid"), "cid", "left_anti").select(good.columns)
-        good = cut(good, "good")
-        known = good.where(f"sha RLIKE '^[0-9a-f]{{{FULL}}}$'").select(F.col("sha").alias("s")).distinct()
-        # classes last: segments without a class reject nothing, a class without its segments would be missed
-        segments(known, TAU).write.mode("append").parquet(f"{self.path}/segments")
-        good.write.mode("append").parquet(f"{self.path}/classes")
+        good = decided.where("rep IS NULL").select("cid", "sha", "bytes", "first")
+        if stored is not None:  # a batch that is added again finds itself
+            good = good.join(stored.where(F.col("kind") == EQUAL).select("cid"), "cid", "left_anti")
+        n, log = self._log(spark)
+        self._write(entries(good), n + 1, log["buckets"])
+        self._commit(spark, n + 1, {"buckets": log["buckets"], "runs": [*log["runs"], n + 1]})
         return out
+
+    def compact(self, spark, buckets: int | None = None) -> None:
+        """All runs as one, with ``buckets`` buckets: more of them as history grows keep what a small batch reads the same."""
+        n, log = self._log(spark)
+        if not log["runs"]:
+            return
+        old = [f"{self.path}/run={r}" for r in log["runs"]]
+        self._write(spark.read.parquet(*old).drop("b"), n + 1, buckets or log["buckets"])
+        self._commit(spark, n + 1, {"buckets": buckets or log["buckets"], "runs": [n + 1]})
+        for r in log["runs"]:
+            fs, path = self._hadoop(spark, f"run={r}")
+            fs.delete(path, True)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,22 +75,26 @@ def _imports(spark: SparkSession, d: str) -> DataFrame:
     return m.select(F.col("audio_id").alias("id"), F.col("import_timestamp").alias("ts"), plain_hash(F.col("sha256")).alias("sha"), F.col("file_bytes").alias("bytes")).distinct()
 
 
-def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    records = cut(_imports(spark, d), "imports")
-    r = increments.rejected(records, increments.decide(increments.classes_of(records)))
-    return r.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
+#: Consecutive import batches are taken together, so that there are so many steps.
+HISTORY_STEPS = 3
 
 
-def p7_batches(spark: SparkSession, d: str) -> DataFrame:
-    """The pairs of ``p7_found``, by batches of a quarter of a year that are stored and probed one after another."""
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Import batches in order of time, consecutive ones together, each against the stored history of those before it."""
     records = cut(_imports(spark, d), "imports")
+    at = [i / HISTORY_STEPS for i in range(1, HISTORY_STEPS)]
+    # the times that part the steps: batches stay whole, as one shares one time; null times come first
+    parts = records.agg(F.percentile_approx("ts", F.array(*[F.lit(x) for x in at]), F.lit(10_000)).alias("t")).first()["t"]
+    parts = sorted(set(parts or ()))
+    step = F.lit(0)
+    for t in parts:
+        step = step + F.coalesce(F.col("ts") > F.lit(t), F.lit(False)).cast("int")
     folder = scratch(spark, "history")
-    quarter = F.year("ts") * 4 + F.quarter("ts")
-    parts = []
-    for (q,) in records.select(quarter.alias("q")).distinct().orderBy("q").collect():  # null times come first
-        parts.append(increments.History(folder).add(records.where(quarter.eqNullSafe(F.lit(q)))))
-    r = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "id string, repeats string")
-    return r.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
+    out = None
+    for i in range(len(parts) + 1):
+        got = increments.History(folder).add(records.where(step == i))
+        out = got if out is None else out.unionByName(got)
+    return out.select(F.least("id", "repeats").alias("audio_id_1"), F.greatest("id", "repeats").alias("audio_id_2")).distinct()
 
 
 def _track_links(spark: SparkSession, d: str) -> DataFrame:
@@ -177,7 +180,6 @@ QUERIES = {
     "p6_splits": p6_splits,
     "p6_shares": p6_shares,
     "p7_found": p7_found,
-    "p7_batches": p7_batches,
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,

@@ -108,35 +108,64 @@ def test_batches_against_bulk(spark, tmp_path):
 def test_stored_history_is_found_again(spark, tmp_path):
     """A new object for every batch, and every batch twice, as after a lost driver."""
     recs = make(4)
-    (tmp_path / "classes" / "_temporary").mkdir(parents=True)  # a first write that ended early
+    (tmp_path / "run=1" / "_temporary").mkdir(parents=True)  # a first write that ended early
     got = []
     for day in sorted({r[1] for r in recs}):
         df = spark.createDataFrame([r for r in recs if r[1] == day], SHAPE).distinct()
         once = rows(increments.History(str(tmp_path)).add(df))
-        stored = spark.read.parquet(f"{tmp_path}/classes").count()
+        stored = spark.read.parquet(str(tmp_path)).count()
         assert rows(increments.History(str(tmp_path)).add(df)) == once
-        assert spark.read.parquet(f"{tmp_path}/classes").count() == stored
+        assert spark.read.parquet(str(tmp_path)).count() == stored
         got += once
     assert sorted(got) == brute(recs)
 
 
-def test_a_batch_takes_only_what_matches_from_history(spark):
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    t, day = dt.datetime(2025, 1, 1), dt.timedelta(days=1)
+    rnd = random.Random(8)
+    old = [(f"o{i}", t, "".join(rnd.choice(HEX) for _ in range(64)), i) for i in range(400)]
+    h = increments.History(str(tmp_path), buckets=256)
+    assert rows(h.add(spark.createDataFrame(old, SHAPE))) == []
+    new = [("x", t + day, old[7][2][:-1] + ("1" if old[7][2][-1] == "0" else "0"), 50)]
+    df = spark.createDataFrame(new, SHAPE)
+    read = h.stored(increments.classes_of(df))
+    assert len({p.split("/b=")[1].split("/")[0] for p in read.inputFiles()}) == 256
+    scanned = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scanned and read.count() < 400 * 5 / 10  # 11 keys at most, so 11 of 256 buckets
+    assert rows(h.add(df)) == [("x", "o7")]
+    h.compact(spark, buckets=16)
+    assert sorted(p.name for p in tmp_path.glob("run=*")) == ["run=3"]
+    assert rows(increments.History(str(tmp_path)).add(spark.createDataFrame([("y", t + day * 2, old[9][2], None), ("z", t + day * 2, old[3][2][:30], 3)], SHAPE))) == [("y", "o9"), ("z", "o3")]
+
+
+def test_what_matches(spark):
     t = dt.datetime(2025, 1, 1)
     old = [("same", t, "ab" * 32, 5), ("near", t, "cd" * 32, 9000), ("head", t, "ef" * 20, 7), ("size", t, "ef" * 19, 8), ("none", t, "12" * 32, 5), ("none2", t, "ab" * 7, None)]
-    new = [("x", t, "ab" * 32, None), ("y", t, "cd" * 31 + "ce", 8000), ("z", t, "ef" * 32, 7)]
+    new = [("x", t + dt.timedelta(1), "ab" * 32, None), ("y", t + dt.timedelta(1), "cd" * 31 + "ce", 9064), ("z", t + dt.timedelta(1), "ef" * 32, 7), ("u", t + dt.timedelta(1), "cd" * 31 + "cf", 9065)]
     old, new = (increments.classes_of(spark.createDataFrame(x, SHAPE)) for x in (old, new))
-    near = increments._near(new, increments.segments(old.select(F.col("sha").alias("s")), 2))
-    assert rows(increments.matching(old, new, near).select("first.id")) == [("head",), ("near",), ("same",)]
-
-
-def test_batches_query(spark, tmp_path):
-    """The registered query goes through stored history, and finds what one bulk pass finds."""
-    old, recs = "ab" * 32, []
-    for i, (day, sha) in enumerate([("2025-01-05", old), ("2025-05-01", old[:-1] + "c"), ("2025-05-02", old[:20]), ("2025-09-01", old), ("2025-09-02", "cd" * 32), (None, "12" * 32), ("2025-12-01", "12" * 32)]):
-        recs.append((f"r{i}", sha, 5, day and dt.datetime.fromisoformat(day)))
-    spark.createDataFrame(recs, "audio_id string, sha256 string, file_bytes bigint, import_timestamp timestamp").write.parquet(f"{tmp_path}/audio_manifest.parquet")
-    want = [("r0", "r1"), ("r0", "r2"), ("r0", "r3"), ("r5", "r6")]
-    assert rows(queries.QUERIES["p7_batches"](spark, str(tmp_path))) == want
+    for crowded in (500, 0):
+        got = increments.matches(new, increments.entries(old), crowded).where("old").join(new.select(F.col("cid").alias("late"), F.col("first.id").alias("id")), "late")
+        assert rows(got.select("id", "first.id")) == [("x", "same"), ("y", "near"), ("z", "head")]
+
+
+@pytest.mark.parametrize("crowded", [0, 3])
+def test_crowded_keys_against_brute_force(spark, crowded):
+    recs = make(11, 120)
+    df = spark.createDataFrame(recs, SHAPE).distinct()
+    assert rows(increments.rejected(df, increments.decide(increments.classes_of(df), crowded=crowded))) == brute(recs)
+
+
+def test_query_by_steps(spark, tmp_path):
+    """The registered query goes through stored history, and finds what one pass over all finds."""
+    recs = make(12, 150)
+    spark.createDataFrame([(i, s, b, t) for i, t, s, b in recs], "audio_id string, sha256 string, file_bytes bigint, import_timestamp timestamp").write.parquet(f"{tmp_path}/audio_manifest.parquet")
+    assert rows(queries.p7_found(spark, str(tmp_path))) == sorted({(min(p), max(p)) for p in brute(recs)})
+    old = "ab" * 32
+    recs = [("r0", None, "12" * 32, 5), ("r1", dt.datetime(2025, 12, 1), "12" * 32, 5), ("r2", dt.datetime(2025, 12, 2), old, 5), ("r3", dt.datetime(2025, 12, 2), old[:20], 5)]
+    spark.createDataFrame([(i, s, b, t) for i, t, s, b in recs], "audio_id string, sha256 string, file_bytes bigint, import_timestamp timestamp").write.parquet(f"{tmp_path}/two/audio_manifest.parquet")
+    assert rows(queries.p7_found(spark, f"{tmp_path}/two")) == [("r0", "r1"), ("r2", "r3")]
+    spark.createDataFrame([], "audio_id string, sha256 string, file_bytes bigint, import_timestamp timestamp").write.parquet(f"{tmp_path}/none/audio_manifest.parquet")
+    assert rows(queries.p7_found(spark, f"{tmp_path}/none")) == []
 
 
 def test_one_hash_with_many_sizes(spark):
