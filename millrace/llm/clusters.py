@@ -1,18 +1,24 @@
-"""Clusters of mutually similar records of numeric fields: a shifted-grid join, exact tolerances, connected components.
+"""Clusters of mutually similar records of numeric fields: MinHash banding, exact Jaccard, tolerances, connected components.
 
 Two records are alike if they differ by at most a tolerance in every field. Space is cut into cells one tolerance wide,
 so records of one cell are all alike, and only links between cells are sought: pairs within a cell are never made.
 
 A cell's token set holds, for each of ``k`` grids of k-fold width, shifted by one tolerance each, the coarse cell it lies
-in. A pair that differs by at most one tolerance per field is cut apart by at most one grid per field, so alike records
-share at least k - fields of the k tokens: a Jaccard similarity of at least (k - f) / (k + f). Each token is a
-band of its own, so that MinHash banding comes down to a join on (grid, coarse cell): by the pigeonhole principle no
-alike pair is missed. Cells that differ by one at most in every field always meet the Jaccard bound; the tolerances
-themselves verify.
+in. A pair of cells that differ by at most one tolerance per field is cut apart by at most one grid per field, so alike
+records share at least k - f of the k tokens of f fields: a Jaccard similarity of at least (k - f) / (k + f).
+
+Candidates come from MinHash signatures in bands of several rows. The permutations aren't drawn independently, but as a
+covering family: that of row g puts the tokens of grid g before all others, each in the order of a seeded hash, so that
+row g of a signature is the hash of the token of grid g. The k rows are dealt to k - f - 1 bands; a pair that shares
+k - f tokens shares two or more of some band by the pigeonhole principle, and a band is keyed once for each two of its
+rows. So banding misses no pair whose Jaccard similarity is high enough, which independent permutations couldn't promise.
+Shifts of a band's rows lie far apart, so that cells which share two of them are near in every field. Of the candidates
+exact Jaccard rejects those with fewer than k - f shared tokens, and the tolerances verify the rest.
 
 Of a full cell only the records that can decide a link are kept: those of its 2^f skylines, one per direction. A link to
 a neighbouring cell exists if and only if one exists between the skylines that face each other, and skylines of parts
-merge into that of the whole, so that a hot cell is reduced where its rows are read.
+merge into that of the whole, so that a hot cell is reduced where its rows are read. Cells that share two tokens of
+a band are at most (k - 1)^f, so that a band's group is bounded by geometry and the skylines, whatever the rows.
 """
 
 from __future__ import annotations
@@ -29,7 +35,14 @@ from millrace.runtime import cut
 
 #: A cell of up to so many records keeps them all.
 SMALL_CELL = 48
-GRIDS = 6
+#: Grids, and so rows of a signature.
+GRIDS = 8
+
+
+def bands(k: int, f: int) -> list[tuple[int, int]]:
+    """The pairs of signature rows that make a key: those within one of k - f - 1 bands, to which the rows are dealt in turn."""
+    n = k - f - 1
+    return [(g, h) for b in range(n) for g in range(b, k, n) for h in range(g + n, k, n)]
 
 
 def skyline(x: np.ndarray) -> np.ndarray:
@@ -89,53 +102,72 @@ def _reduce(cells: list[str], values: list[str], flush: int = 200_000):
 
 
 def _links(cells: list[str], values: list[str], widths: np.ndarray, k: int, pairs_at_once: int = 4_000_000):
-    """From rows sorted by band: the linked pairs of cells of each band, each pair in its first shared band only."""
+    """From rows sorted by band key: the linked pairs of cells that meet, each pair under its first shared key only."""
     f = len(cells)
-    least_shared = k - f
+    keyed = bands(k, f)
 
-    def band(c: np.ndarray, x: np.ndarray, g: int) -> np.ndarray:
+    def band(c: np.ndarray, x: np.ndarray, at: int) -> np.ndarray:
         cuts = np.flatnonzero(np.append(True, (c[1:] != c[:-1]).any(1)))
         stops = np.append(cuts[1:], len(c))
         u = c[cuts]
         if len(u) < 2:
             return np.zeros((0, 2 * f), np.int64)
         low, high = np.minimum.reduceat(x, cuts), np.maximum.reduceat(x, cuts)
+        coarse = np.stack([np.floor_divide(u + t, k) for t in range(k)], 1)
         left, right = [], []
         step = max(1, pairs_at_once // (8 * len(u)))
         for s in range(0, len(u), step):
-            i, j = np.nonzero((np.abs(u[s : s + step, None] - u[None]) <= 1).all(2))
+            # exact Jaccard of the token sets: n shared of 2k - n, at least (k - f) of (k + f)
+            n = np.zeros((min(step, len(u) - s), len(u)), np.int8)
+            for t in range(k):
+                n += (coarse[s : s + step, None, t] == coarse[None, :, t]).all(2)
+            i, j = np.nonzero(n.astype(np.int64) * (k + f) >= (k - f) * (2 * k - n.astype(np.int64)))
             i += s
-            left.append(i[i < j]), right.append(j[i < j])
+            # boxes too far apart hold no link; of single records the box is the record
+            ok = (i < j) & (np.maximum(low[j] - high[i], low[i] - high[j]) <= widths).all(1)
+            left.append(i[ok]), right.append(j[ok])
         i, j = np.concatenate(left), np.concatenate(right)
-        # verified by exact Jaccard of the token sets, and left to the first band that they share
-        tokens = np.stack([(np.floor_divide(u[i] + t, k) == np.floor_divide(u[j] + t, k)).all(1) for t in range(k)], 1)
-        n = tokens.sum(1)
-        ok = (n * (k + f) >= least_shared * (2 * k - n)) & (tokens.argmax(1) == g)
-        # boxes too far apart hold no link; of single records the box is the record
-        ok &= (np.maximum(low[j] - high[i], low[i] - high[j]) <= widths).all(1)
-        i, j = i[ok], j[ok]
+        same = (coarse[i] == coarse[j]).all(2)
+        first = np.argmax(np.stack([same[:, g] & same[:, h] for g, h in keyed], 1), 1) == at if len(i) else np.zeros(0, bool)
+        i, j = i[first], j[first]
         size = stops - cuts
         linked = (size[i] == 1) & (size[j] == 1)
         for p in np.flatnonzero(~linked):
             a, b = x[cuts[i[p]] : stops[i[p]]], x[cuts[j[p]] : stops[j[p]]]
-            rows_at_once = max(1, pairs_at_once // len(b))
-            linked[p] = any((np.abs(a[s : s + rows_at_once, None] - b[None]) <= widths).all(2).any() for s in range(0, len(a), rows_at_once))
+            # of either cell only what lies within reach of the other's box
+            a = a[((a >= low[j[p]] - widths) & (a <= high[j[p]] + widths)).all(1)]
+            b = b[((b >= low[i[p]] - widths) & (b <= high[i[p]] + widths)).all(1)]
+            if len(a) and len(b):
+                rows_at_once = max(1, pairs_at_once // len(b))
+                linked[p] = any((np.abs(a[s : s + rows_at_once, None] - b[None]) <= widths).all(2).any() for s in range(0, len(a), rows_at_once))
         return np.hstack([u[i[linked]], u[j[linked]]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f"a_{c}" for c in cells] + [f"b_{c}" for c in cells]
-        rest = None
+        open_: list[pd.DataFrame] = []  # parts of the band that may go on with the next batch
+
+        def close() -> pd.DataFrame:
+            b = pd.concat(open_, ignore_index=True) if len(open_) > 1 else open_[0]
+            return band(b[cells].to_numpy(), b[values].to_numpy(float), int(b["band"].iloc[0]))
+
         for b in batches:
-            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            key = b[["grid", *[f"t_{c}" for c in cells]]].to_numpy()
+            if not len(b):
+                continue
+            key = b[["band", "key"]].to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1))), len(b))
+            if open_ and (open_[-1][["band", "key"]].to_numpy()[-1] == key[0]).all():
+                open_.append(b.iloc[: cuts[1]])
+                cuts = cuts[1:]
+                if len(cuts) == 1:
+                    continue
+            found = [close()] if open_ else []
             c, x = b[cells].to_numpy(), b[values].to_numpy(float)
-            found = [band(c[cuts[i] : cuts[i + 1]], x[cuts[i] : cuts[i + 1]], key[cuts[i]][0]) for i in range(len(cuts) - 2)]
-            rest = b.iloc[cuts[-2] :]
+            found += [band(c[cuts[i] : cuts[i + 1]], x[cuts[i] : cuts[i + 1]], int(key[cuts[i]][0])) for i in range(len(cuts) - 2)]
+            open_ = [b.iloc[cuts[-2] :]]
             if found:
                 yield pd.DataFrame(np.concatenate(found), columns=names)
-        if rest is not None and len(rest):
-            yield pd.DataFrame(band(rest[cells].to_numpy(), rest[values].to_numpy(float), int(rest["grid"].iloc[0])), columns=names)
+        if open_:
+            yield pd.DataFrame(close(), columns=names)
 
     return run
 
@@ -148,11 +180,11 @@ class Clusters:
     columns are not read.
     """
 
-    def __init__(self, df: DataFrame, key: str, tolerances: Mapping[str, float], k: int = GRIDS):
+    def __init__(self, df: DataFrame, key: str, tolerances: Mapping[str, float], k: int = GRIDS, seed: int = 0):
         fields, widths = list(tolerances), np.array(list(tolerances.values()), float)
         f = len(fields)
-        if k <= f:
-            raise ValueError("more grids than fields are needed")
+        if k < f + 2:
+            raise ValueError("at least two more grids than fields are needed")
         self.widths = widths
         self.cells, self.values = [f"c{i}" for i in range(f)], [f"x{i}" for i in range(f)]
         rec = df.select(df[key].alias("id"), *[df[n].cast("double").alias(x) for n, x in zip(fields, self.values)])
@@ -170,14 +202,13 @@ class Clusters:
         shape = ", ".join([f"{c} bigint" for c in self.cells] + [f"{x} double" for x in self.values])
         rows = self.records.select(*self.cells, *self.values).mapInPandas(reduce, shape)
         self.facing = rows.repartition(*self.cells).mapInPandas(reduce, shape)
-        grids = F.explode(F.array(*[F.lit(g) for g in range(k)])).alias("grid")
-        bands = self.facing.select("*", grids)
-        tokens = [f"t_{c}" for c in self.cells]
-        for c, t in zip(self.cells, tokens):
-            bands = bands.withColumn(t, F.floor((F.col(c) + F.col("grid")) / F.lit(k)).cast("bigint"))
-        bands = bands.repartition("grid", *tokens).sortWithinPartitions("grid", *tokens, *self.cells)
+        coarse = lambda g: [F.floor((F.col(c) + g) / F.lit(k)).cast("bigint") for c in self.cells]
+        rows_ = [F.xxhash64(F.lit(seed), F.lit(g), *coarse(g)) for g in range(k)]  # the signature
+        keys = [F.struct(F.lit(i).cast("bigint").alias("band"), F.xxhash64(rows_[g], rows_[h]).alias("key")) for i, (g, h) in enumerate(bands(k, f))]
+        banded = self.facing.select("*", F.explode(F.array(*keys)).alias("b")).select("b.*", *self.cells, *self.values)
+        banded = banded.repartition("band", "key").sortWithinPartitions("band", "key", *self.cells)
         out = ", ".join(f"{s}_{c} bigint" for s in "ab" for c in self.cells)
-        self.links = cut(bands.mapInPandas(_links(self.cells, self.values, widths, k), out), "links")
+        self.links = cut(banded.mapInPandas(_links(self.cells, self.values, widths, k), out), "links")
 
     def _named(self) -> DataFrame:
         """Cells as one string each, with size and least id."""

@@ -93,3 +93,30 @@ def test_skyline():
     kept = x[clusters.skyline(x)]
     for p in x:
         assert ((kept >= p).all(1)).any()
+
+
+def test_bands_cover_every_pair_of_enough_tokens():
+    """Whatever k - f of the k tokens two cells share, they share two of some band; Jaccard rejects those with fewer."""
+    from itertools import combinations
+
+    for k, f in ((8, 4), (6, 4), (9, 3), (5, 2), (3, 1)):
+        keyed = clusters.bands(k, f)
+        for shared in combinations(range(k), k - f):
+            assert any(g in shared and h in shared for g, h in keyed)
+
+
+def test_jaccard_rejects_candidates_of_one_band():
+    """Two cells that meet under a key but are further than a tolerance apart in every field: 2 of 8 tokens are too few."""
+    cells, values = ["c0", "c1", "c2", "c3"], ["x0", "x1", "x2", "x3"]
+    rnd = np.random.default_rng(4)
+    rejected = 0
+    for _ in range(300):
+        u = rnd.integers(-20, 20, 4)
+        v = u + rnd.integers(-4, 5, 4)
+        tokens = [((u + t) // 8 == (v + t) // 8).all() for t in range(8)]
+        met = any(tokens[g] and tokens[h] for g, h in clusters.bands(8, 4))
+        enough = sum(tokens) * 12 >= 4 * (16 - sum(tokens))
+        if np.abs(u - v).max() <= 1:
+            assert met and enough
+        rejected += met and not enough
+    assert rejected > 0
