@@ -75,20 +75,21 @@ def winnow(texts: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def fingerprints(texts: DataFrame, k: int, w: int) -> DataFrame:
-    """``(text, place, hash)`` of the selected fingerprints of distinct texts."""
+    """``(id, place, hash)`` of the selected fingerprints of texts (id, text): only ids go on, not the texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            t = b["text"].tolist()
-            owner, place, value = winnow(t, k, w)
-            yield pd.DataFrame({"text": b["text"].to_numpy()[owner] if len(t) else [], "place": place, "hash": value.view(np.int64)})
+            owner, place, value = winnow(b["text"].tolist(), k, w)
+            yield pd.DataFrame({"id": b["id"].to_numpy(np.int64)[owner], "place": place.astype(np.int32), "hash": value.view(np.int64)})
 
-    return texts.select("text").mapInPandas(run, "text string, place bigint, hash bigint")
+    return texts.select("id", "text").mapInPandas(run, "id bigint, place int, hash bigint")
 
 
 def align(a: str, b: str, seeds: list[tuple[int, int]], k: int) -> tuple[int, int]:
-    """Number of seeds chained, and of characters matched, for seeds (place in a, place in b) of k equal characters."""
-    seeds = sorted(set(seeds))
+    """Number of seeds chained, and of characters matched, for seeds (place in a, place in b); those whose k characters differ are left out."""
+    seeds = sorted({(p, q) for p, q in seeds if a[p : p + k] == b[q : q + k]})
+    if not seeds:
+        return 0, 0
     # the longest collinear chain: places grow on both sides
     tails: list[int] = []
     at: list[int] = []
@@ -152,15 +153,20 @@ def text_overlaps(left: DataFrame, right: DataFrame, k: int, w: int, least: floa
     coverage is the share of the longer text that is matched, and at least ``least``. Equal texts have coverage 1 and are found by an equality join beside the fingerprints.
     ``in_place`` keeps only seeds at the same place on both sides, for texts that differ by substitutions alone. Null and
     empty texts overlap nothing; either side empty gives no rows.
+
+    A text goes by a 64-bit number until its pairs are known, so that what is shuffled by fingerprint is of fixed width
+    whatever the texts' length; where two texts have one number, each is aligned. The join by hash (and place) is a
+    plain one that adaptive execution splits where a fingerprint is common.
     """
-    a = left.select("text").where("text <> ''").distinct()
-    b = right.select("text").where("text <> ''").distinct()
-    fa = fingerprints(a, k, w).select(F.col("text").alias("a"), F.col("place").alias("p"), "hash")
-    fb = fingerprints(b, k, w).select(F.col("text").alias("b"), F.col("place").alias("q"), "hash")
-    on = (fa["hash"] == fb["hash"]) & (F.col("a") != F.col("b"))
+    named = lambda df: df.select("text").where("text <> ''").distinct().select(F.xxhash64("text").alias("id"), "text")
+    a, b = named(left), named(right)
+    fa = fingerprints(a, k, w).toDF("ia", "p", "hash")
+    fb = fingerprints(b, k, w).toDF("ib", "q", "hash")
+    on = (fa["hash"] == fb["hash"]) & (F.col("ia") != F.col("ib"))
     if in_place:
         on = on & (F.col("p") == F.col("q"))
-    seeds = fa.join(fb, on).groupBy("a", "b").agg(F.collect_set(F.struct("p", "q")).alias("at"))
+    seeds = fa.join(fb, on).groupBy("ia", "ib").agg(F.collect_set(F.struct("p", "q")).alias("at"))
+    seeds = seeds.join(a.toDF("ia", "a"), "ia").join(b.toDF("ib", "b"), "ib").select("a", "b", "at")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:

@@ -32,41 +32,60 @@ def p1_clusters(spark: SparkSession, d: str) -> DataFrame:
 EVALUATION = ("val", "test", "holdout_gold")
 
 
-def _overlapping(spark: SparkSession, d: str) -> DataFrame:
-    """``(a, b, split_name, pool)``: overlapping evaluation and training ids as stored."""
+#: Two of 64 places leave an equal run of 21 digits, which windows of 10 k-grams of 12 digits can't miss.
+GRAM, WINDOW = 12, 10
+
+
+def _split_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Listed records with their ids' normal form, those with a whole hash, and the overlapping pairs of hashes and of ids."""
     listed = table(spark, d, "split_ids", "audio_id", "split_name", "pool").where("audio_id IS NOT NULL").distinct()
     listed = listed.where(F.col("split_name").isin("train", *EVALUATION))
     # the look-alikes O for 0, I and L for 1; hyphens go
     alike = F.translate(F.lower(stripped(F.col("audio_id"))), "oil-", "011")
     listed = cut(listed.withColumn("alike", alike), "listed")
-    hashes = table(spark, d, "audio_manifest", "audio_id", "sha256").select("audio_id", plain_hash(F.col("sha256")).alias("sha")).distinct()
-    held = cut(listed.join(hashes.where("sha RLIKE '^[0-9a-f]{64}$'"), "audio_id").select("audio_id", "split_name", "pool", "sha"), "held")
-
-    def pairs(df: DataFrame, text: str, overlapping: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-        df = df.select("audio_id", "split_name", "pool", F.col(text).alias("text"))
-        train = df.where("split_name = 'train'").select("audio_id", "text").distinct()
-        evaluated = df.where("split_name <> 'train'")
-        return overlaps.expand(overlapping(evaluated, train), evaluated, train).select("a_audio_id", "b_audio_id", "a_split_name", "a_pool")
-
-    # two of 64 places leave an equal run of 21: windows of 6 k-grams of 16 digits miss none
-    by_hash = pairs(held, "sha", lambda a, b: overlaps.text_overlaps(a, b, 16, 6, 62 / 64, in_place=True).where("length(a) = length(b) AND matched >= length(a) - 2"))
+    hashes = table(spark, d, "audio_manifest", "audio_id", "sha256").select("audio_id", plain_hash(F.col("sha256")).alias("sha"))
+    held = listed.join(hashes.where("sha RLIKE '^[0-9a-f]{64}$'"), "audio_id").select("audio_id", "split_name", "pool", "alike", "sha").distinct()
+    held = cut(held, "held")
+    text = lambda df, c, train: df.where(F.col("split_name") == "train" if train else F.col("split_name") != "train").select(F.col(c).alias("text"))
+    by_hash = overlaps.text_overlaps(text(held, "sha", False), text(held, "sha", True), GRAM, WINDOW, 62 / 64, in_place=True).where("length(a) = length(b) AND matched >= length(a) - 2")
     # ids must be equal, which needs no fingerprints
-    by_id = pairs(listed, "alike", lambda a, b: cut(overlaps.equal_texts(a, b), "equal"))
-    return by_hash.unionByName(by_id).distinct().toDF("a", "b", "split_name", "pool")
+    by_id = cut(overlaps.equal_texts(text(listed, "alike", False), text(listed, "alike", True)), "equal")
+    return listed, held, by_hash.select("a", "b"), by_id.select("a", "b")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    o = _overlapping(spark, d)
+    listed, held, by_hash, by_id = _split_records(spark, d)
+
+    def pairs(df: DataFrame, text: str, of: DataFrame) -> DataFrame:
+        df = df.select("audio_id", "split_name", F.col(text).alias("text")).distinct()
+        train = df.where("split_name = 'train'").select("audio_id", "text")
+        return overlaps.expand(of, df.where("split_name <> 'train'"), train).select("a_audio_id", "b_audio_id", "a_split_name")
+
+    o = pairs(held, "sha", by_hash).unionByName(pairs(listed, "alike", by_id)).toDF("a", "b", "split_name")
     return o.select(F.least("a", "b").alias("audio_id_1"), F.greatest("a", "b").alias("audio_id_2"), "split_name").distinct()
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
-    """Overlaps, and evaluation records with one, per split and pool (null pool by itself)."""
-    listed = table(spark, d, "split_ids", "audio_id", "split_name", "pool").where(F.col("split_name").isin(*EVALUATION)).where("audio_id IS NOT NULL").distinct()
-    per = _overlapping(spark, d).groupBy(F.col("a").alias("audio_id"), "split_name", "pool").agg(F.count("*").alias("n"))
-    joined = listed.join(per, listed["audio_id"].eqNullSafe(per["audio_id"]) & (listed["split_name"] == per["split_name"]) & listed["pool"].eqNullSafe(per["pool"]), "left")
-    return joined.groupBy(listed["split_name"], listed["pool"]).agg(
-        F.count("*").alias("records"), F.count("n").alias("overlapping"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), (F.count("n") / F.count("*")).alias("share")
+    """Overlaps, and evaluation records with one, per split and pool (null pool by itself).
+
+    Pairs are counted from the sizes of classes of equal ids and equal hashes, and not made: those alike by id and those by
+    hash, less those alike by both. A record with several hashes counts once with each.
+    """
+    listed, held, by_hash, by_id = _split_records(spark, d)
+    evaluated = lambda df: df.where("split_name <> 'train'")
+    train = held.where("split_name = 'train'").select("audio_id", "alike", "sha").distinct()
+    n_id = by_id.join(listed.where("split_name = 'train'").groupBy(F.col("alike").alias("b")).agg(F.count_distinct("audio_id").alias("n")), "b").groupBy(F.col("a").alias("alike")).agg(F.sum("n").alias("n_id"))
+    n_hash = by_hash.join(train.groupBy(F.col("sha").alias("b")).agg(F.count("*").alias("n")), "b").groupBy(F.col("a").alias("sha")).agg(F.sum("n").alias("n_hash"))
+    both = by_hash.join(train.groupBy("alike", F.col("sha").alias("b")).agg(F.count("*").alias("n")), "b").groupBy("alike", F.col("a").alias("sha")).agg(F.sum("n").alias("n_both"))
+    found = evaluated(held).join(n_hash, "sha").join(both, ["alike", "sha"], "left")
+    found = found.groupBy("audio_id", "split_name", "pool").agg(F.sum(F.col("n_hash") - F.coalesce("n_both", F.lit(0))).alias("n_other"), F.sum("n_hash").alias("by_hash"))
+    rows = evaluated(listed).join(n_id, "alike", "left").alias("l")
+    on = (F.col("l.audio_id") == found["audio_id"]) & (F.col("l.split_name") == found["split_name"]) & F.col("l.pool").eqNullSafe(found["pool"])
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    rows = rows.join(found, on, "left").select("l.split_name", "l.pool", zero("n_id").alias("by_id"), zero("by_hash").alias("by_hash"), (zero("n_id") + zero("n_other")).alias("pairs"))
+    hit = F.count_if(F.col("pairs") > 0)
+    return rows.groupBy("split_name", "pool").agg(
+        F.count("*").alias("records"), hit.alias("overlapping"), F.sum("pairs").alias("pairs"), F.sum("by_id").alias("same_id"), F.sum("by_hash").alias("same_content"), (hit / F.count("*")).alias("share")
     )
 
 
@@ -187,4 +206,30 @@ QUERIES = {
     "p10_statistics": p10_statistics,
 }
 
-ORACLE: dict[str, str] = {}
+_HASH_SQL = r"trim(regexp_replace(lower(regexp_replace(sha256, '^\s+|\s+$', '', 'g')), '^sha256:', ''))"
+_OVERLAPS_SQL = f"""
+s AS (SELECT DISTINCT audio_id, split_name, pool, replace(translate(lower(regexp_replace(audio_id, '^\\s+|\\s+$', '', 'g')), 'oil', '011'), '-', '') x FROM split_ids WHERE audio_id IS NOT NULL),
+h AS (SELECT DISTINCT s.*, m.sha FROM s JOIN (SELECT audio_id, {_HASH_SQL} sha FROM audio_manifest) m USING (audio_id) WHERE regexp_full_match(m.sha, '[0-9a-f]{{64}}')),
+o AS (SELECT DISTINCT a.audio_id a, b.audio_id b, a.split_name, a.pool, 'id' k FROM s a JOIN s b ON a.x = b.x WHERE a.split_name IN ('val', 'test', 'holdout_gold') AND b.split_name = 'train'
+  UNION SELECT DISTINCT a.audio_id, b.audio_id, a.split_name, a.pool, 'hash' FROM h a JOIN h b ON hamming(a.sha, b.sha) <= 2 WHERE a.split_name IN ('val', 'test', 'holdout_gold') AND b.split_name = 'train')"""
+
+ORACLE: dict[str, str] = {
+    "p1_found": """
+WITH RECURSIVE f AS (SELECT DISTINCT audio_id, spectral_centroid_mean c, rms_mean r, zcr_mean z, spectral_bandwidth_mean b FROM audio_features
+  WHERE audio_id IS NOT NULL AND isfinite(spectral_centroid_mean) AND isfinite(rms_mean) AND isfinite(zcr_mean) AND isfinite(spectral_bandwidth_mean)),
+e AS (SELECT DISTINCT p.audio_id a, q.audio_id b FROM f p JOIN f q ON abs(p.c - q.c) <= 30 AND abs(p.r - q.r) <= 0.004 AND abs(p.z - q.z) <= 0.003 AND abs(p.b - q.b) <= 30),
+l(a, c, n) AS (SELECT a, min(b), 0 FROM e GROUP BY 1 UNION ALL SELECT e.a, min(l.c), any_value(l.n) + 1 FROM e JOIN l ON e.b = l.a WHERE l.n < 60 GROUP BY 1),
+g AS (SELECT a, min(c) c FROM l GROUP BY 1)
+SELECT g.a AS audio_id, g.c AS cluster_id FROM g WHERE g.c IN (SELECT g.c FROM g JOIN f ON f.audio_id = g.a GROUP BY 1 HAVING count(*) >= 5)""",
+    "p5_found": f"WITH {_OVERLAPS_SQL} SELECT DISTINCT least(a, b) AS audio_id_1, greatest(a, b) AS audio_id_2, split_name FROM o",
+    "p5_report": f"""
+WITH {_OVERLAPS_SQL}, p AS (SELECT a, split_name, pool, count(DISTINCT b) n, count(*) FILTER (k = 'id') i, count(*) FILTER (k = 'hash') c FROM o GROUP BY 1, 2, 3)
+SELECT s.split_name, s.pool, count(*) AS records, count(p.n) AS overlapping, coalesce(sum(p.n), 0)::BIGINT AS pairs, coalesce(sum(p.i), 0)::BIGINT AS same_id, coalesce(sum(p.c), 0)::BIGINT AS same_content, count(p.n) / count(*) AS share
+FROM s LEFT JOIN p ON s.audio_id = p.a AND s.split_name = p.split_name AND s.pool IS NOT DISTINCT FROM p.pool WHERE s.split_name IN ('val', 'test', 'holdout_gold') GROUP BY 1, 2""",
+    "p6_found": r"""
+WITH RECURSIVE t AS (SELECT DISTINCT track_id, TRY_CAST(regexp_replace(artist_id, '[^0-9]+', '', 'g') AS BIGINT) a FROM dataset_joined WHERE track_id IS NOT NULL),
+u AS (SELECT * FROM t WHERE a IS NOT NULL), e AS (SELECT DISTINCT p.a x, q.a y FROM u p JOIN u q USING (track_id)),
+l(x, y, n) AS (SELECT x, min(y), 0 FROM e GROUP BY 1 UNION ALL SELECT e.x, min(l.y), any_value(l.n) + 1 FROM e JOIN l ON e.y = l.x WHERE l.n < 200 GROUP BY 1),
+g AS (SELECT x, min(y) y FROM l GROUP BY 1), r AS (SELECT DISTINCT u.track_id, g.y FROM u JOIN g ON u.a = g.x)
+SELECT track_id, y AS group_artist FROM r WHERE y IN (SELECT y FROM r GROUP BY 1 HAVING count(*) > 1)""",
+}

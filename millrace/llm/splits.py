@@ -2,8 +2,9 @@
 
 Records tied by an entity, also through records with several entities, form groups: found by iterative minimum-label
 propagation over the bipartite record-entity graph. Groups are then assigned so that every split holds its share of each
-label: the few groups large enough to matter one by one, greedily by the deviation they cause, all others by thresholds
-on a hash within their main label, set from histograms.
+label: the few groups large enough to matter one by one, greedily by the deviation they cause, all others systematically
+along an order in which groups with the same labels lie side by side, so that whatever stretch of it a label or a mixture
+of labels takes up is dealt out in the wanted proportions.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ranking import global_rank
 from millrace.runtime import Table, cut
 
 #: A group with at least this share of all records is placed by itself; there are at most 1 / HEAVY of them.
 HEAVY = 0.001
-#: Hash buckets of a label's histogram, and labels told apart (the most frequent; the rest counts as one).
-BUCKETS, LABELS = 1024, 50
+#: The fraction whose multiples spread most evenly over the unit interval.
+GOLDEN = (5**0.5 - 1) / 2
 
 
 def number_in(c: Column) -> Column:
@@ -61,64 +63,61 @@ def record_entities(df: DataFrame, record: str, entity: Column) -> DataFrame:
     return df.select(df[record].alias("record"), entity.alias("entity")).where("record IS NOT NULL AND entity IS NOT NULL").distinct()
 
 
-def assign(units: DataFrame, shares: Mapping[str, float], seed: str = "0", heavy: float = HEAVY, buckets: int = BUCKETS, labels: int = LABELS) -> DataFrame:
+def assign(units: DataFrame, shares: Mapping[str, float], seed: str = "0", heavy: float = HEAVY) -> DataFrame:
     """``(unit, split)`` for ``units`` (unit, label, n): n records of a label in a unit, units being kept whole.
 
     Shares are scaled to sum to 1. A null label is a label of its own. A unit beyond ``heavy`` of all records goes where
     the squared deviation from the shares, summed over labels and splits, becomes least (the largest first; ties by unit,
-    then the order of ``shares``). The others go by a hash of the unit and ``seed`` against the thresholds of their main label, which fill what
-    the heavy ones left open. At most 1 / heavy units, and labels x buckets sums, come to the driver, whatever the size.
+    then the order of ``shares``); its labels below ``heavy`` of all records count as one there. The others are put in
+    order by main label, all their labels with their counts, and a hash of unit and ``seed``; a unit's rank in that order
+    times the golden ratio, of which only the fraction counts, tells its split, so that any run of units is dealt out
+    evenly. Shares are those of the main label, less what the heavy units have taken. All labels are told apart, however many there are.
+    At most 1 / heavy units, each with at most 1 / heavy labels, and one count per partition come to the driver, whatever the size.
     """
     names = list(shares)
     want = [shares[s] / sum(shares.values()) for s in names]
-    units = units.withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("")))
-    top = [r[0] for r in units.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(labels).collect()]
-    units = units.withColumn("label", F.when(F.col("label").isin(top), F.col("label")).otherwise(F.lit("\0other")))
+    units = units.withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("\0none")))
     units = cut(units.groupBy("unit", "label").agg(F.sum("n").alias("n")), "units")
-    sums = {r["label"]: r["n"] for r in units.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    total = sum(sums.values())
-    whole = units.groupBy("unit").agg(
-        F.sum("n").alias("size"), F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("main"),
-        F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("hist"),
-    )
-    whole = whole.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("unit").cast("string")), F.lit(buckets)).cast("int"))
-    whole = cut(whole, "whole")
-    big = F.col("size") > F.lit(heavy * total)
-    have = {(s, x): 0.0 for s in names for x in sums}
+    sums = cut(units.groupBy("label").agg(F.sum("n").alias("total")), "sums")
+    total = sums.agg(F.sum("total")).first()[0] or 0
+    sizes = units.groupBy("unit").agg(F.sum("n").alias("size"))
+    big = cut(units.join(sizes.where(F.col("size") > F.lit(heavy * total)), "unit"), "heavy")
+    often = sums.where(F.col("total") > F.lit(heavy * total))
+    known = big.join(often, "label", "left").withColumn("label", F.when(F.col("total").isNotNull(), F.col("label")))
+    hists: dict[tuple, dict] = {}
+    for r in known.groupBy("unit", "size", "label").agg(F.sum("n").alias("n")).collect():
+        hists.setdefault((r["unit"], r["size"]), {})[r["label"]] = r["n"]
+    of = {r["label"]: r["total"] for r in often.collect()}
+    of[None] = max(1, total - sum(of.values()))
+    have = {(s, x): 0.0 for s in names for x in of}
     placed: list[tuple] = []
-    for r in sorted(whole.where(big).select("unit", "size", "hist").collect(), key=lambda r: (-r["size"], str(r["unit"]))):
+    for unit, _ in sorted(hists, key=lambda k: (-k[1], str(k[0]))):
+        hist = hists[unit, _]
         cost = {}
         for s, w in zip(names, want):
             # what this unit changes of the summed squared deviations, each label's relative to its own size
-            cost[s] = sum((((have[s, x] + n) - w * sums[x]) ** 2 - (have[s, x] - w * sums[x]) ** 2) / sums[x] for x, n in r["hist"].items())
+            cost[s] = sum((((have[s, x] + n) - w * of[x]) ** 2 - (have[s, x] - w * of[x]) ** 2) / of[x] for x, n in hist.items())
         s = min(names, key=lambda s: cost[s])
-        placed.append((r["unit"], s))
-        for x, n in r["hist"].items():
+        placed.append((unit, s))
+        for x, n in hist.items():
             have[s, x] += n
-    light = whole.where(~big)
-    hist: dict[str, list[int]] = {}
-    for r in light.groupBy("main", "bucket").agg(F.sum("size").alias("n")).collect():
-        hist.setdefault(r["main"], [0] * buckets)[r["bucket"]] = r["n"]
-    spark = units.sparkSession
-    cuts: list[tuple] = []
-    for x, counts in hist.items():
-        open_ = [max(0.0, w * sums.get(x, 0) - have.get((s, x), 0.0)) for s, w in zip(names, want)]
-        open_ = open_ if sum(open_) > 0 else want
-        n, acc, k, ends = sum(counts), 0, 0, []
-        limit = open_[0] / sum(open_) * n
-        for b, c in enumerate(counts):
-            while k < len(names) - 1 and acc + c / 2 > limit:
-                ends.append(b)
-                k += 1
-                limit += open_[k] / sum(open_) * n
-            acc += c
-        ends += [buckets] * (len(names) - len(ends))
-        cuts.append((x, ends))
     unit_type = units.schema["unit"].dataType.simpleString()
-    edges = spark.createDataFrame(cuts, "main string, ends array<int>")
-    heavy_df = spark.createDataFrame(placed, f"unit {unit_type}, split string")
+    heavy_df = units.sparkSession.createDataFrame(placed, f"unit {unit_type}, split string")
+    # what is open of each label, as the shares at which each split ends
+    taken = big.join(heavy_df, "unit").groupBy("label").agg(*[F.sum(F.when(F.col("split") == s, F.col("n")).otherwise(0)).alias(f"t{i}") for i, s in enumerate(names)])
+    room = [F.greatest(F.lit(0.0), F.lit(w) * F.col("total") - F.coalesce(f"t{i}", F.lit(0))) for i, w in enumerate(want)]
+    whole = sum(room[1:], room[0])
+    ends = F.array(*[F.when(whole > 0, sum(room[1 : i + 1], room[0]) / whole).otherwise(F.lit(sum(want[: i + 1]))) for i in range(len(names))])
+    edges = sums.join(taken, "label", "left").select(F.col("label").alias("main"), ends.alias("ends"))
+    light = units.join(big.select("unit").distinct(), "unit", "left_anti").groupBy("unit").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "label"))).alias("labels")
+    )
+    light = light.withColumn("main", F.get("labels", 0)["label"]).withColumn("profile", F.to_json("labels"))
+    light = light.select("unit", "main", "profile", F.xxhash64(F.lit(seed), F.col("unit").cast("string")).alias("lot"))
+    light = global_rank(light, [F.col("main"), F.col("profile"), F.col("lot"), F.col("unit")]).join(edges, "main")
+    at = F.col("rank") * F.lit(GOLDEN)
+    at = at - F.floor(at)
     pick = F.lit(names[-1])
     for i in reversed(range(len(names) - 1)):
-        pick = F.when(F.col("bucket") < F.col("ends")[i], F.lit(names[i])).otherwise(pick)
-    # both tables are bounded: at most labels + 1 and 1 / heavy rows
-    return light.join(F.broadcast(edges), "main").select("unit", pick.alias("split")).unionByName(heavy_df)
+        pick = F.when(at < F.get("ends", i), F.lit(names[i])).otherwise(pick)
+    return light.select("unit", pick.alias("split")).unionByName(heavy_df)

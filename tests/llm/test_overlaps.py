@@ -72,7 +72,7 @@ def test_equal_ids_take_no_fingerprints(spark, tmp_path, monkeypatch):
     made, fingerprints = [], overlaps.fingerprints
     monkeypatch.setattr(overlaps, "fingerprints", lambda texts, k, w: made.append(k) or fingerprints(texts, k, w))
     assert rows(queries.p5_found(spark, str(tmp_path))) == [("X01", "x-O1", "val"), ("x-O1", "x02", "test")]
-    assert made == [16, 16]  # those of the hashes
+    assert made == [12, 12]  # those of the hashes
 
 
 def test_align_counts_matches():
@@ -80,3 +80,5 @@ def test_align_counts_matches():
     b = "z" * 3 + "abcdefghij" + "yy"
     seeds = [(10 + i, 3 + i) for i in range(7)]
     assert overlaps.align(a, b, seeds, 4) == (7, 12)
+    assert overlaps.align(a, b, [*seeds, (0, 0)], 4) == (7, 12)  # of other texts with the same number
+    assert overlaps.align(a, b, [(0, 0)], 4) == (0, 0)

@@ -70,3 +70,27 @@ def test_assignment_keeps_shares(spark):
         for lab in ("x", "y", None):
             of = sum(n for _, x, n in units if x == lab)
             assert abs(sum(n for u, x, n in units if got[u] == s and x == lab) / of - w) < 0.03
+
+
+def test_units_of_mixed_labels_and_very_many_labels(spark):
+    """Each unit holds several labels; 300 labels beside a few frequent ones, each of which reaches every split."""
+    rnd = random.Random(3)
+    rows_in = []
+    for i in range(4000):
+        for lab in set(rnd.choices(["a", "b", "c", "d"], k=rnd.randint(1, 3))):
+            rows_in.append((f"u{i}", lab, rnd.randint(1, 3)))
+    rows_in += [(f"r{i}", f"rare{i % 300}", 1) for i in range(9000)]
+    rows_in += [("h1", "a", 400), ("h1", "b", 200), ("h1", "rare1", 1), ("h2", "c", 350)]
+    df = spark.createDataFrame(rows_in, "unit string, label string, n bigint")
+    shares = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    got = dict(rows(splits.assign(df, shares)))
+    assert set(got) == {u for u, _, _ in rows_in}
+    total, per = defaultdict(int), defaultdict(int)
+    for u, lab, n in rows_in:
+        total[lab] += n
+        per[lab, got[u]] += n
+    for lab in total:
+        for s, w in shares.items():
+            assert abs(per[lab, s] / total[lab] - w) < (0.02 if lab in "abcd" else 0.11), (lab, s)
+    rare = [lab for lab in total if lab not in "abcd"]
+    assert sum(per[lab, s] > 0 for lab in rare for s in shares) > 0.95 * 3 * len(rare)
