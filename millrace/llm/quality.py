@@ -32,9 +32,11 @@ LABEL = re.compile(r"^\s*[^\W\d_][\w .&'/-]{0,28}\s?[:：]\s+\S")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿가-힯]")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 TERMINAL = tuple(".!?。！？…．:：\"”»」』)）’'")
-SENTENCE_END = re.compile(r"[.!?。！？…]+[\"”»」』)）’'\s\U0001F000-\U0001FAFF☀-➿️‍]*$")
-#: The same read from the end of the line, which takes linear time whatever it holds.
-SENTENCE_END_BACKWARDS = re.compile(r"[\"”»」』)）’'\s\U0001F000-\U0001FAFF☀-➿️‍]*[.!?。！？…]")
+# fixed values: marks that end a sentence, and what may follow them
+SENTENCE_MARKS = frozenset(".!?。！？…")
+CLOSERS = "\"”»」』)）’' \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
+#: Closing characters and emoji before the end, read from the end of the line, which takes linear time whatever it holds.
+CLOSED = re.compile(r"[\"”»」』)）’'\s\U0001F000-\U0001FAFF☀-➿️\u200d]*(.)")
 MARKUP = re.compile(r"<[^<>]{0,200}>|&#?\w{1,10};|\{\}")
 HEX = re.compile(r"(?<!\S)[0-9A-Fa-f]{2}(?!\S)")
 RULE = re.compile(r"^[\s|+:=_.\-─━┼┬┴├┤]+$")
@@ -46,6 +48,17 @@ MOJIBAKE = re.compile(r"[\u0080-ÿŒœŠšŸŽžƒˆ˜–-…‰‹›€™]")
 EMOJI = re.compile(r"[\U0001F000-\U0001FAFF☀-➿️‍⃣]")
 
 
+def ended(line: str) -> bool:
+    """Whether a line ends in a sentence mark, before any closing characters, blanks and emoji; in linear time."""
+    s = line.rstrip(CLOSERS)
+    if not s or s[-1] in SENTENCE_MARKS:
+        return bool(s)
+    if s[-1].isascii() or s[-1].isalnum():
+        return False
+    m = CLOSED.match(s[::-1])
+    return bool(m) and m.group(1) in SENTENCE_MARKS
+
+
 def words_of(text: str) -> list[str]:
     """Words of spaced scripts, and every character of the unspaced ones by itself."""
     if not CJK.search(text):
@@ -140,7 +153,7 @@ def _cells(lines: list[str]) -> float:
         cell = np.array([len(bare[i]) / (mode + 1) for i in idx])
         if float(np.median(cell)) > 30:
             continue
-        if d in (",", ";", "  ") and float(np.mean([bool(SENTENCE_END.search(bare[i])) for i in idx])) > 0.4:
+        if d in (",", ";", "  ") and float(np.mean([ended(bare[i]) for i in idx])) > 0.4:
             continue
         if d in (",", ";") and float(np.mean([", " in bare[i] or "; " in bare[i] for i in idx])) > 0.5 and mode < 3:
             continue
@@ -211,7 +224,7 @@ def describe(text: str | None, common: Mapping[str, frozenset[str]]) -> tuple:
     words = words_of(text.lower())
     n_ink, n_letters, n_digits = _inks(text)
     symbols = 1 - (n_letters + n_digits) / n_ink
-    ends = sum(1 for s in lines if SENTENCE_END_BACKWARDS.match(s[::-1])) / n
+    ends = sum(1 for s in lines if ended(s)) / n
     known = sum(map(spaced.__contains__, words))
     if not text.isascii():
         joined = "".join(CJK.findall(text))
@@ -256,12 +269,12 @@ def _kind(text: str, lines: list[str], lengths: np.ndarray, indents: np.ndarray,
     if n >= 2 and marked.sum() > 0.5 * n:
         return "list"
     if n >= 3:
-        labelled = np.array([bool(LABEL.match(s)) and not SENTENCE_END.search(s) for s in lines])
+        labelled = np.array([bool(LABEL.match(s)) and not ended(s) for s in lines])
         wide = np.array([2 if CJK.search(s) else 1 for s in lines])
-        short = (lengths * wide <= 64) & np.array([not SENTENCE_END.search(s) for s in lines])
+        short = (lengths * wide <= 64) & np.array([not ended(s) for s in lines])
         entry = marked | labelled | short
         # wrapped running text has short lines too: they are filled, hold common words and go on in lower case
-        flow = sum(1 for a, b in zip(lines, lines[1:]) if not SENTENCE_END.search(a) and b.lstrip()[:1].islower() and not MARKER.match(b))
+        flow = sum(1 for a, b in zip(lines, lines[1:]) if not ended(a) and b.lstrip()[:1].islower() and not MARKER.match(b))
         filled = float(np.mean(lengths > 0.75 * np.percentile(lengths, 90)))
         wrapped = ratio > 0.2 and (filled > 0.6 or flow > 0.35 * n)
         if entry.sum() > 0.5 * n and not wrapped:

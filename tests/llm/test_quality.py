@@ -61,7 +61,8 @@ def test_nothing_and_long():
 def test_sentence_marks_before_long_padding():
     for tail in (" " * 60, "”" * 50, "🎵" * 45, "  ’)" * 20, ""):
         assert quality.describe("The band was on." + tail + "\nIt was late" + tail + "\nWas it late?!" + tail, COMMON)[5] == 2 / 3
-    assert quality.describe("." * 200_000 + "x", COMMON)[5] == 0
+    for long in ("." * 200_000 + "x", "🎵 " * 100_000 + "x", "one, two" + "." * 300_000 + " x\n" + "a, b"):
+        assert quality.describe(long, COMMON)[5] == 0
 
 
 def test_more_common_words_than_a_hundred_thousand(spark):
