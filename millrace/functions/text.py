@@ -103,8 +103,19 @@ def safety(
         n = F.coalesce(F.regexp_count(text, F.lit("(?i)" + pattern)), F.lit(0))
         score, matches = score + n * F.lit(weight * 0.15), matches + n
     score = F.least(F.lit(1.0), score)
-    level = F.when(score == 0, "safe").when(score < 0.3, "low").when(score < 0.6, "medium").otherwise("high")
-    return score, matches, level, score < threshold
+    return score, matches, risk_level(score), score < threshold
+
+
+def risk_level(score: Column) -> Column:
+    return F.when(score == 0, "safe").when(score < 0.3, "low").when(score < 0.6, "medium").otherwise("high")
+
+
+def any_word(text: Column, words: Sequence[str]) -> Column:
+    """Whether a text holds one of the words anywhere, in whatever letter case; a null text holds none."""
+    low, hit = F.lower(text), F.lit(False)
+    for w in words:
+        hit = hit | F.contains(low, F.lit(w.lower()))
+    return F.coalesce(hit, F.lit(False))
 
 
 def normal_tag(c: Column) -> Column:

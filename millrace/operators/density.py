@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.vectors import distance, doubles
+from millrace.functions.vectors import cosine, distance, doubles
 from millrace.operators.graph import connected_components
 from millrace.operators.similarity import similar_pairs
 from millrace.runtime import cut
@@ -70,3 +70,48 @@ def grade(d: Column, is_music: Column, has_speech: Column, has_noise: Column) ->
     bad = ~F.coalesce(is_music, F.lit(True)) | no(has_speech) | no(has_noise)
     kind = F.when(d < 0.6, "substyle_variant").when(d < 0.8, "substyle_outlier").when(bad, "non_music_outlier").otherwise("extreme_style_variant")
     return kind, F.when((d >= 0.8) & bad, "reject").otherwise("keep"), d >= 0.6
+
+
+def label_verdict(similarity: Column, found: Column, failed: Column, least: float = 0.3) -> tuple[Column, Column]:
+    """(verdict, similarity to four places) of a label's vector and a recording's: not_found, error, mismatch or match."""
+    ok = F.coalesce(found, F.lit(False))
+    bad = F.coalesce(failed, F.lit(False)) | similarity.isNull() | F.isnan(similarity)
+    verdict = F.when(~ok, "not_found").when(bad, "error").when(similarity < least, "mismatch").otherwise("match")
+    return verdict, F.when(ok & ~bad, F.round(similarity, 4))
+
+
+def label_check(df: DataFrame, key: str, own: str, labels: DataFrame, label: str, vector: str, least: float = 0.3) -> DataFrame:
+    """``(key, verdict, similarity)``: the cosine of each row's vector to that of its label; rows without either aren't found."""
+    ref = labels.select(F.col(label).alias("_l"), doubles(F.col(vector)).alias("_v")).dropDuplicates(["_l"])
+    j = df.select(key, F.col(own).alias("_own"), doubles(F.col(vector)).alias("_x")).join(ref, F.col("_own") == F.col("_l"), "left")
+    verdict, sim = label_verdict(cosine(F.col("_x"), F.col("_v")), F.col("_x").isNotNull() & F.col("_v").isNotNull(), F.lit(False), least)
+    return j.select(key, verdict.alias("verdict"), sim.alias("similarity"))
+
+
+def projection(df: DataFrame, key: str, vector: str, k: int = 2) -> DataFrame:
+    """``(key, point)``: principal components of the centred vectors, by their covariance (of bounded size: dimensions squared).
+
+    A component's sign is that of its greatest loading. Null vectors are left out.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = df.where(F.col(vector).isNotNull()).select(key, doubles(F.col(vector)).alias("_v"))
+    d = rows.select(F.size("_v").alias("d")).first()
+    if d is None:
+        return rows.select(key, F.col("_v").alias("point"))
+    mean = rows.agg(F.array(*[F.avg(F.get("_v", i)) for i in range(d["d"])]).alias("m")).first()["m"]
+    centred = rows.select(key, array_to_vector(F.zip_with("_v", F.array(*[F.lit(x) for x in mean]), lambda a, b: a - b)).alias("_v"))
+    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(centred)
+    load = model.pc.toArray()
+    sign = [1.0 if load[abs(load[:, i]).argmax(), i] >= 0 else -1.0 for i in range(k)]
+    return model.transform(centred).select(key, F.zip_with(vector_to_array("_p"), F.array(*[F.lit(x) for x in sign]), lambda a, b: a * b).alias("point"))
+
+
+def k_means(df: DataFrame, key: str, vector: str, k: int, seed: int = 42) -> DataFrame:
+    """``(key, cluster)`` of ``k`` clusters around means; null vectors are left out."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = df.where(F.col(vector).isNotNull()).select(key, array_to_vector(doubles(F.col(vector))).alias("features"))
+    return KMeans(k=k, seed=seed, predictionCol="cluster").fit(rows).transform(rows).select(key, "cluster")

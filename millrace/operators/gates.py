@@ -133,17 +133,17 @@ NON_MUSIC_WORDS = (
 )
 
 
-def music_rules(silence: Column, duration: Column, file_name: Column, flatness: Column) -> Column:
+def music_rules(silence: Column, duration: Column, file_name: Column, flatness: Column, silent: float = 0.7, short: float = 3.0, flat: float = 0.5) -> Column:
     """The first rule that tells a file isn't music, as (score, confidence, rule); null if none does."""
     out = lambda s, c, r: F.struct(F.lit(s).alias("score"), F.lit(c).alias("confidence"), F.lit(r).alias("rule"))
     word = F.lit(False)
     for w in NON_MUSIC_WORDS:
         word = word | F.contains(F.lower(file_name), F.lit(w))
     return (
-        F.when((silence > 0.7) & ~F.isnan(silence), out(0.1, 0.8, "silence"))
-        .when(duration < 3.0, out(0.2, 0.7, "short"))
+        F.when((silence > silent) & ~F.isnan(silence), out(0.1, 0.8, "silence"))
+        .when(duration < short, out(0.2, 0.7, "short"))
         .when(word, out(0.15, 0.75, "file_name"))
-        .when((flatness > 0.5) & ~F.isnan(flatness), out(0.2, 0.6, "flat_spectrum"))
+        .when((flatness > flat) & ~F.isnan(flatness), out(0.2, 0.6, "flat_spectrum"))
     )
 
 
@@ -183,3 +183,62 @@ def fill_missing(df: DataFrame, defaults: Mapping[str, object]) -> tuple[DataFra
     filled = df.select(*[F.coalesce(F.col(c), F.lit(known[c])).alias(c) if c in known else F.col(c) for c in df.columns])
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in known])
     return filled, counts
+
+
+def required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows that have a value in each of those of the columns that the table has."""
+    there = [c for c in columns if c in df.columns]
+    return df.na.drop(subset=there) if there else df
+
+
+def content_gate(is_music: Column, is_instrumental: Column, vocal_ratio: Column, is_safe: Column, instrumental_only: bool = False, max_vocal_ratio: float = 1.0, music: bool = True, safety: bool = True) -> tuple[Column, Column]:
+    """(passed, reason of the first rule that fails): music, only instruments, not too much singing, safe.
+
+    A null ratio isn't judged, and a null verdict counts as music, as not instrumental, and as safe.
+    """
+    reason = first_tripped([
+        (F.lit(music) & ~F.coalesce(is_music, F.lit(True)), F.lit("not_music")),
+        (F.lit(instrumental_only) & ~F.coalesce(is_instrumental, F.lit(False)), F.lit("not_instrumental")),
+        ((vocal_ratio > max_vocal_ratio) & ~F.isnan(vocal_ratio), F.lit("too_vocal")),
+        (F.lit(safety) & ~F.coalesce(is_safe, F.lit(True)), F.lit("unsafe")),
+    ])
+    return reason.isNull(), reason
+
+
+def vocal_gate(ratio: Column, estimate: Column, unsure: str = "run", low: float = 0.3, high: float = 0.7, least: float = 0.10) -> tuple[Column, Column]:
+    """(decision, go on): whether an item has singing, by two thresholds on a detector's ratio.
+
+    Between them ``unsure`` tells: "run" and "check" go on, the latter only where ``estimate`` is above ``least``; "skip"
+    and "mark" don't. Without a ratio (null or NaN) the estimate alone tells, a null one counts as singing.
+    """
+    if unsure not in ("run", "check", "skip", "mark"):
+        raise ValueError(f"no strategy {unsure}")
+    known = ratio.isNotNull() & ~F.isnan(ratio)
+    sung = F.coalesce(estimate > least, F.lit(True))
+    decision = F.when(~known, "estimated").when(ratio > high, "vocals").when(ratio < low, "no_vocals").otherwise("unsure")
+    between = {"run": F.lit(True), "check": sung}.get(unsure, F.lit(False))
+    return decision, F.when(~known, sung).when(ratio > high, F.lit(True)).when(ratio < low, F.lit(False)).otherwise(between)
+
+
+def transcription_route(lang: Column, has_stem: Column, first: Sequence[str], targets: Sequence[str] = (), first_tool: bool = True, second_tool: bool = True) -> tuple[Column, Column]:
+    """(status, tool): skipped_language, no_vocals, no_tool or ready; languages in ``first`` take the first tool where there is one."""
+    wanted = lang.isin(*targets) if targets else F.lit(True)
+    second = F.when(F.lit(second_tool), F.lit("second"))
+    tool = F.when(lang.isin(*first) & F.lit(first_tool), F.lit("first")).otherwise(second)
+    status = F.when(~F.coalesce(wanted, F.lit(False)), "skipped_language").when(~F.coalesce(has_stem, F.lit(False)), "no_vocals").when(tool.isNull(), "no_tool").otherwise("ready")
+    return status, F.when(status == "ready", tool)
+
+
+def segment_end(duration: Column, default: int = 10) -> Column:
+    """Whole seconds of a duration, or a default where it is null, NaN or not above 0."""
+    return F.when((duration > 0) & ~F.isnan(duration), F.floor(duration)).otherwise(F.lit(default)).cast("int")
+
+
+def vocal_ratio(band: Column, flux: Column | None = None, harmonic: Column | None = None) -> Column:
+    """The singing share of a band's energy with the spectral flux (.7 and .3, the flux at most 1 and halved), or with the
+    harmonic share (.4 and .6), between 0 and 1."""
+    if harmonic is not None:
+        raw = F.lit(0.6) * harmonic + F.lit(0.4) * band
+    else:
+        raw = F.lit(0.7) * band + F.lit(0.3) * (F.least(F.lit(1.0), flux / 10.0) * 0.5)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw))

@@ -1,9 +1,11 @@
-"""All pairs of similar vectors, in blocks of bounded size.
-
-Angles to pivot vectors bound the angle between two vectors from below (triangle inequality), so rows are bucketed by
-their angle to a pivot on two grids, shifted by the search angle: a similar pair shares a bucket of at least one. Full
-buckets are cut into blocks by a hash, and pairs of blocks are compared as matrix products, so that a task holds two blocks at most,
-however many rows a bucket has. The result is exact: nothing is sampled or capped.
+"""All pairs of similar vectors, in blocks of bounded size, and nearest neighbours.
+
+A few pivots are chosen from the data, and each row goes to its nearest one. Rows are put into blocks by pivot and by the
+angle to it, so that a block is a shell of a cell; a full shell is cut by a hash. Of each block the least and greatest
+angle to every pivot is known. By the triangle inequality two blocks whose ranges of angles to some pivot lie further
+apart than the search angle hold no similar pair, and only the other pairs of blocks are compared, as matrix products.
+The result is exact: nothing is sampled or capped. On vectors without any structure all pairs of blocks remain, and the
+work is quadratic in the rows, as that of any exact similarity join; a row is then shipped once per ``block`` rows.
 """
 
 from __future__ import annotations
@@ -13,12 +15,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.vectors import dot, doubles, unit
+from millrace.runtime import cut
+
+BLOCK = 16384
+#: Rows of a block that are compared at once.
+TILE = 2048
+#: Pivots, rows that they are chosen from, and shells per pivot.
+PIVOTS, SAMPLE, SHELLS = 16, 512, 64
+
+
+def _units(vectors: pd.Series) -> np.ndarray:
+    x = np.stack(vectors.to_numpy()).astype(float)
+    return x / np.maximum(np.sqrt((x * x).sum(1)), 1e-10)[:, None]
+
+
+def _pivots(rows: DataFrame) -> np.ndarray:
+    """Unit vectors far from one another: each next one is the furthest, of the ``SAMPLE`` rows of least hash, from those before."""
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()
+    if not len(sample):
+        return np.zeros((0, 0))
+    x = _units(sample["v"])
+    chosen, nearest = [0], x @ x[0]
+    while len(chosen) < min(PIVOTS, len(x)):
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, x @ x[chosen[-1]])
+    return x[chosen]
 
-BLOCK = 2048
+
+def _angles(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ pivots.T, -1.0, 1.0))
 
 
 def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart: str | None = None, block: int = BLOCK) -> DataFrame:
@@ -30,41 +59,76 @@ def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart:
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    side = F.col(apart).cast("string") if apart else F.lit(None).cast("string")
-    rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).alias("id"), side.alias("side"), unit(doubles(F.col(vector))).alias("v"))
     theta = math.acos(min(1.0, threshold)) + 1e-7
-    # the pivot is the first axis and its angle needs no data; the grids are twice the search angle wide
-    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.get("v", 0))))
-    rows = rows.withColumn("angle", angle).withColumn("grid", F.explode(F.array(F.lit(0), F.lit(1))))
-    rows = rows.withColumn("band", F.floor((F.col("angle") + F.col("grid") * F.lit(theta)) / F.lit(2 * theta)))
-    full = rows.groupBy("grid", "band").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / F.lit(block)).cast("int"))
-    rows = rows.join(full.select("grid", "band", "blocks"), ["grid", "band"])
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
-    kind = df.schema[key].dataType.simpleString()
+    side = F.col(apart).cast("string") if apart else F.lit(None).cast("string")
+    rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).alias("id"), side.alias("side"), F.col(vector).alias("v"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    kind, shape = kinds["id"], f"id {kinds['id']}, side string, v {kinds['v']}"
+    pivots = _pivots(rows)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                a = _angles(_units(b["v"]), pivots)
+                b["cell"] = a.argmin(1)
+                b["shell"] = np.minimum((a.min(1) * (SHELLS / math.pi)).astype(int), SHELLS - 1)
+                b["angles"] = list(a)
+                yield b
+
+    placed = cut(rows.mapInPandas(place, f"{shape}, cell int, shell int, angles array<double>"), "placed")
+    # at most PIVOTS x SHELLS sums; shells are taken together, in order, until a block is full
+    blocks, n, held, last = {}, 0, 0, None
+    for r in placed.groupBy("cell", "shell").count().orderBy("cell", "shell").collect():
+        if last is not None and (r["cell"] != last or held + r["count"] > block):
+            n, held = n + blocks[at][1], 0
+        parts = max(1, math.ceil(r["count"] / block))
+        at, last, held = (r["cell"], r["shell"]), r["cell"], held + r["count"]
+        blocks[at] = (n, parts)
+    named = df.sparkSession.createDataFrame([(c, s, b, p) for (c, s), (b, p) in blocks.items()], "cell int, shell int, base int, parts int")
+    placed = placed.join(F.broadcast(named), ["cell", "shell"]).withColumn("mine", F.col("base") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # the ranges of angles: one row per block, so fewer than the rows by the size of a block
+    k = len(pivots)
+    at = [F.get("angles", i) for i in range(k)]
+    ranges = placed.groupBy("mine").agg(F.array(*[F.min(a) for a in at]).alias("lo"), F.array(*[F.max(a) for a in at]).alias("hi")).toPandas().sort_values("mine")
+    ids = ranges["mine"].to_numpy()
+    low, high = (np.stack(ranges[c].to_numpy()) if len(ranges) else np.zeros((0, k)) for c in ("lo", "hi"))
+
+    def partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i in np.searchsorted(ids, b["mine"]):
+                near = (np.maximum(low - high[i], low[i] - high) <= theta).all(1)
+                out.append(ids[near].tolist())
+            yield pd.DataFrame({"mine": b["mine"], "others": out})
+
+    who = df.sparkSession.createDataFrame([(int(i),) for i in ids], "mine int").mapInPandas(partners, "mine int, others array<int>")
+    rows = placed.select("id", "side", "v", "mine").join(who, "mine").select("id", "side", "v", "mine", F.explode("others").alias("other"))
+    rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")).drop("other")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, sims = [], [], []
         a = pdf[pdf["mine"] == pdf["lo"].iloc[0]]
         b = a if pdf["lo"].iloc[0] == pdf["hi"].iloc[0] else pdf[pdf["mine"] == pdf["hi"].iloc[0]]
-        none = pd.DataFrame({"id_1": pd.Series([], dtype=pdf["id"].dtype), "id_2": pd.Series([], dtype=pdf["id"].dtype), "similarity": pd.Series([], dtype=float)})
-        if a.empty or b.empty:
-            return none
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
-        ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
-        sim = x @ y.T
-        i, j = np.nonzero(sim >= threshold - 1e-12)
-        ok = ia[i] < ib[j] if b is a else ia[i] != ib[j]
-        if apart:
-            sa, sb = a["side"].to_numpy(), b["side"].to_numpy()
-            ok &= np.array([p is not None and q is not None and p != q for p, q in zip(sa[i], sb[j])], bool)
-        if pdf["grid"].iloc[0] == 1:  # a pair that the first grid holds together is left to it
-            ok &= np.floor(a["angle"].to_numpy()[i] / (2 * theta)) != np.floor(b["angle"].to_numpy()[j] / (2 * theta))
-        i, j = i[ok], j[ok]
-        first = ia[i] < ib[j]
-        return pd.DataFrame({"id_1": np.where(first, ia[i], ib[j]), "id_2": np.where(first, ib[j], ia[i]), "similarity": sim[i, j]}) if len(i) else none
-
-    out = rows.groupBy("grid", "band", "lo", "hi").applyInPandas(compare, f"id_1 {kind}, id_2 {kind}, similarity double")
+        if len(a) and len(b):
+            x = _units(a["v"])
+            y = x if b is a else _units(b["v"])
+            ia, ib, sa, sb = a["id"].to_numpy(), b["id"].to_numpy(), a["side"].to_numpy(), b["side"].to_numpy()
+            for s in range(0, len(x), TILE):
+                for t in range(0, len(y), TILE):
+                    sim = x[s : s + TILE] @ y[t : t + TILE].T
+                    i, j = np.nonzero(sim >= threshold - 1e-12)
+                    v = sim[i, j]
+                    i, j = i + s, j + t
+                    ok = ia[i] < ib[j] if b is a else ia[i] != ib[j]
+                    if apart:
+                        ok &= np.array([p is not None and q is not None and p != q for p, q in zip(sa[i], sb[j])], bool)
+                    left.append(ia[i[ok]]), right.append(ib[j[ok]]), sims.append(v[ok])
+        if not sum(map(len, sims)):
+            return pd.DataFrame({"id_1": pdf["id"].iloc[:0], "id_2": pdf["id"].iloc[:0], "similarity": pd.Series([], dtype=float)})
+        p, q = np.concatenate(left), np.concatenate(right)
+        return pd.DataFrame({"id_1": np.where(p < q, p, q), "id_2": np.where(p < q, q, p), "similarity": np.concatenate(sims)})
+
+    out = rows.groupBy("lo", "hi").applyInPandas(compare, f"id_1 {kind}, id_2 {kind}, similarity double")
     return out.withColumn("similarity", F.round("similarity", 4))
 
 
@@ -80,7 +144,7 @@ def nearest(df: DataFrame, vector: str, centroids: dict[object, list[float]], me
     return df.withColumn("_b", best).select("*", F.col("_b.nearest").alias("nearest"), F.col("_b.distance").alias("distance")).drop("_b")
 
 
-def top_neighbours(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block: int = BLOCK) -> DataFrame:
+def top_neighbours(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block: int = TILE) -> DataFrame:
     """``(query, id, distance, place)``: the k nearest rows of each query by cosine distance, itself among them.
 
     Queries come in blocks; each block passes once over all rows, which keep only its best k of every batch, and the
@@ -108,7 +172,5 @@ def top_neighbours(df: DataFrame, queries: DataFrame, key: str, vector: str, k:
         return pd.DataFrame({"query": left["query"].to_numpy()[rows_], "id": ids[best.ravel()], "distance": d[rows_, best.ravel()]})
 
     got = q.groupBy("b", "part").cogroup(rows.groupBy("b", "part")).applyInPandas(search, f"query {kind}, id {kind}, distance double")
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
     return got.withColumn("place", place).where(F.col("place") <= k)

@@ -29,6 +29,16 @@ def temporal_split(df: DataFrame, time: str, key: str, ratios: Mapping[str, floa
     return ranked.withColumn("split", by_place(F.col("rank"), _total(ranked), head, rest)).drop("rank")
 
 
+def temporal_shuffled_split(df: DataFrame, time: str, key: str, ratios: Mapping[str, float] = RATIOS, seed: object = 42) -> DataFrame:
+    """``temporal_split``, and ``place``: each row's place, from 1, in a shuffled order of its split."""
+    from millrace.operators.ranking import global_rank
+
+    cut_ = temporal_split(df, time, key, ratios)
+    ranked = global_rank(cut_, [F.col("split"), seeded(seed, F.col(key)), F.col(key)], "place")
+    first = ranked.groupBy("split").agg((F.min("place") - 1).alias("_before"))
+    return ranked.join(first, "split").withColumn("place", F.col("place") - F.col("_before")).drop("_before")
+
+
 def random_split(df: DataFrame, key: str, ratios: Mapping[str, float] = RATIOS, seed: object = 42) -> DataFrame:
     """Adds ``split`` by the order of a hash of seed and key: the same for the same rows, however they are laid out."""
     head, rest = _cut(ratios)
@@ -110,3 +120,37 @@ def verify(df: DataFrame, manifest: DataFrame, checksums: DataFrame, key: str, e
         out = one if out is None else out.unionByName(one)
     out = out.unionByName(out.agg(F.lit("overall").alias("check"), F.sum("failures").alias("failures")))
     return out.withColumn("passed", F.col("failures") == 0)
+
+
+def shared_batches(df: DataFrame, manifest: DataFrame, key: str, batch: str, split: str = "split", learned: Sequence[str] = ("train", "val"), apart: Sequence[str] = ("test", "holdout_gold")) -> DataFrame:
+    """``(split, batch)``: import batches of a split in ``apart`` from which ``learned`` splits have records, too.
+
+    Keys that the manifest lacks and records without a batch belong to none.
+    """
+    of = manifest.where(F.col(key).isNotNull() & F.col(batch).isNotNull()).select(key, F.col(batch).alias("batch")).distinct()
+    seen = df.select(key, F.col(split).alias("split")).join(of, key).select("split", "batch").distinct()
+    known = seen.where(F.col("split").isin(*learned)).select("batch").distinct()
+    return seen.where(F.col("split").isin(*apart)).join(known, "batch", "left_semi").select("split", "batch")
+
+
+def isolation(df: DataFrame, manifest: DataFrame, key: str, batch: str, split: str = "split", apart: Sequence[str] = ("test", "holdout_gold")) -> DataFrame:
+    """One row per split that is to stand apart: ``(split, shared, passed)``, the number of batches that it shares."""
+    shared = shared_batches(df, manifest, key, batch, split, apart=apart).groupBy("split").agg(F.count("*").alias("shared"))
+    names = df.sparkSession.createDataFrame([(s,) for s in apart], "split string")
+    return names.join(shared, "split", "left").select("split", F.coalesce("shared", F.lit(0)).alias("shared")).withColumn("passed", F.col("shared") == 0)
+
+
+def require_apart(df: DataFrame, key: str, split: str = "split", strict: bool = True) -> DataFrame:
+    """``leaked``; with ``strict`` an error if there is any."""
+    found = leaked(df, key, split)
+    if strict and (first := found.first()):
+        raise ValueError(f"{key} {first[key]!r} stands in {', '.join(first['splits'])}")
+    return found
+
+
+def seen_before(df: DataFrame, key: str, order: Sequence[str], split: str = "split") -> DataFrame:
+    """``(split, n, seen)``: distinct keys of each split, and how many of them a split earlier in ``order`` has."""
+    place = F.array_position(F.array(*[F.lit(s) for s in order]), F.col(split))
+    rows = df.where(F.col(key).isNotNull() & (place > 0)).select(F.col(key).alias("k"), F.col(split).alias("split"), place.alias("o")).distinct()
+    first = rows.groupBy("k").agg(F.min("o").alias("first"))
+    return rows.join(first, "k").groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("first") < F.col("o")).alias("seen"))

@@ -16,6 +16,11 @@ def hit_rate(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -
     return out.withColumn("hit_percent", F.when(F.col("left_rows") > 0, F.round(F.col("joined_rows") / F.col("left_rows") * 100, 2)).otherwise(F.lit(0.0)))
 
 
+def inner(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """An inner join under different names of the key, both of which are kept; null keys match nothing."""
+    return left.join(right, F.col(left_key) == F.col(right_key))
+
+
 def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str, limit: int | None = 10) -> DataFrame:
     """The first distinct keys, in order, of the left table that the right one lacks (a report: ``limit`` None for all)."""
     r = right.select(F.col(right_key).alias("_k"))

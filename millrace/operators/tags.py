@@ -109,3 +109,9 @@ def frequency(df: DataFrame, tag: str, reference: str, order: str) -> DataFrame:
 def most_frequent(df: DataFrame, tag: str, reference: str, order: str, k: int = 20) -> DataFrame:
     """The ``k`` most frequent of ``frequency``, the most frequent first, ties by tag (a report)."""
     return frequency(df, tag, reference, order).orderBy(F.desc("n"), tag).limit(k)
+
+
+def most_likely(scores: Column, k: int = 5) -> Column:
+    """The ``k`` entries (name, score) of greatest score of a map from names to scores, ties by name; null for a null map."""
+    entries = F.transform(F.map_entries(scores), lambda e: F.struct((-e["value"]).alias("s"), e["key"].alias("name")))
+    return F.transform(F.slice(F.array_sort(entries), 1, k), lambda e: F.struct(e["name"].alias("name"), (-e["s"]).alias("score")))

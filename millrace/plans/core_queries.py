@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from millrace.operators import chunks, dedup, density, frames, gates, kernels, p
 from millrace.operators.graph import connected_components
 from millrace.plans.book import Book
 from millrace.plans.pipeline import Pipeline, Result, Stage
-from millrace.runtime import cut, shared_dir, spread
+from millrace.runtime import cut, scratch, spread
 from millrace.sources.tables import table
 from millrace.streaming import windows
 
@@ -50,11 +48,12 @@ def quality_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT audio_id, coalesce(spectral_flatness_mean > 0.01 AND NOT isnan(spectral_flatness_mean), false) AS candidate,
-  CASE WHEN spectral_flatness_mean > 0.01 AND NOT isnan(spectral_flatness_mean) THEN 'spectral_flatness' ELSE '' END AS reason FROM audio_features""")
+SELECT audio_id, s OR f AS candidate, concat_ws('; ', CASE WHEN s THEN 'snr' END, CASE WHEN f THEN 'spectral_flatness' END) AS reason FROM (SELECT audio_id,
+  coalesce(loudness_lufs + 25 > 0 AND loudness_lufs + 25 < 15, false) s, coalesce(spectral_flatness_mean > 0.01 AND NOT isnan(spectral_flatness_mean), false) f FROM audio_features)""")
 def noise_candidates(spark: SparkSession, d: str) -> DataFrame:
-    yes, why = gates.noise_candidate(F.lit(None).cast("double"), F.col("spectral_flatness_mean"), gates.QualityRules(flatness=0.01))
-    return table(spark, d, "audio_features", "audio_id", "spectral_flatness_mean").select("audio_id", yes.alias("candidate"), why.alias("reason"))
+    f = table(spark, d, "audio_features", "audio_id", "spectral_flatness_mean", "loudness_lufs")
+    yes, why = gates.noise_candidate(F.col("loudness_lufs") + 25, F.col("spectral_flatness_mean"), gates.QualityRules(flatness=0.01))
+    return f.select("audio_id", yes.alias("candidate"), why.alias("reason"))
 
 
 @query("""
@@ -90,25 +89,33 @@ def content_gate(spark: SparkSession, d: str) -> DataFrame:
     return y.where(~gates.content_rejects(F.col("is_music"), F.col("has_speech"), F.col("has_noise"))).select("track_id")
 
 
-@query("""
-SELECT audio_id, CASE WHEN duration_s < 3 THEN 'short' WHEN spectral_flatness_mean > 0.5 AND NOT isnan(spectral_flatness_mean) THEN 'flat_spectrum' END AS rule,
-  CASE WHEN duration_s < 3 THEN 0.2 WHEN spectral_flatness_mean > 0.5 AND NOT isnan(spectral_flatness_mean) THEN 0.2 END::DOUBLE AS score FROM audio_features""")
+_WORDS = ", ".join(f"'{w}'" for w in gates.NON_MUSIC_WORDS)
+
+
+@query(f"""
+WITH j AS (SELECT DISTINCT m.audio_id, m.original_filename n, m.duration_sec d, y.silence_ratio s, f.spectral_flatness_mean q FROM audio_manifest m LEFT JOIN yamnet_output y ON m.audio_id = y.track_id LEFT JOIN audio_features f ON m.audio_id = f.audio_id),
+r AS (SELECT *, CASE WHEN s > 0.2 AND NOT isnan(s) THEN 1 WHEN d < 30 THEN 2 WHEN len(list_filter([{_WORDS}], lambda w: contains(lower(n), w))) > 0 THEN 3 WHEN q > 0.03 AND NOT isnan(q) THEN 4 END k FROM j)
+SELECT audio_id, d AS duration, s AS silence, q AS flatness, n AS name, ['silence', 'short', 'file_name', 'flat_spectrum'][k] AS rule, [0.1, 0.2, 0.15, 0.2][k]::DOUBLE AS score FROM r""")
 def music_rules(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "audio_features", "audio_id", "duration_s", "spectral_flatness_mean")
-    hit = gates.music_rules(F.lit(None).cast("double"), F.col("duration_s"), F.col("audio_id"), F.col("spectral_flatness_mean"))
-    return f.select("audio_id", hit["rule"].alias("rule"), hit["score"].alias("score"))
+    """The rules at limits that the tables meet."""
+    m = table(spark, d, "audio_manifest", "audio_id", F.col("original_filename").alias("name"), F.col("duration_sec").alias("duration"))
+    y = table(spark, d, "yamnet_output", F.col("track_id").alias("y"), F.col("silence_ratio").alias("silence"))
+    f = table(spark, d, "audio_features", F.col("audio_id").alias("f"), F.col("spectral_flatness_mean").alias("flatness"))
+    j = m.join(y, m["audio_id"] == y["y"], "left").join(f, m["audio_id"] == f["f"], "left").select("audio_id", "name", "duration", "silence", "flatness").distinct()
+    hit = gates.music_rules(F.col("silence"), F.col("duration"), F.col("name"), F.col("flatness"), silent=0.2, short=30.0, flat=0.03)
+    return j.select("*", hit["rule"].alias("rule"), hit["score"].alias("score"))
 
 
 @query("""
-SELECT audio_id, round((0.6 * CASE WHEN cv > 0.2 AND cv < 1 THEN greatest(0, least(1, 1 - abs(cv - 0.5) / 0.5)) ELSE 0.2 END + 0.5 * least(1, b / 50) + 0.5 * 0.3
+SELECT audio_id, round((0.6 * CASE WHEN cv > 0.2 AND cv < 1 THEN greatest(0, least(1, 1 - abs(cv - 0.5) / 0.5)) ELSE 0.2 END + 0.5 * least(1, b / 50) + 0.5 * CASE WHEN h > 0.3 AND h < 0.9 THEN greatest(0, least(1, 1 - abs(h - 0.6) / 0.4)) ELSE 0.3 END
   + 0.4 * CASE WHEN z > 0.02 AND z < 0.4 THEN greatest(0, least(1, 1 - abs(z - 0.15) / 0.2)) ELSE 0.3 END) / (2.0 + 1e-10), 6) AS score
-FROM (SELECT audio_id, rms_std / nullif(rms_mean, 0) cv, zcr_std b, zcr_mean z FROM audio_features WHERE isfinite(rms_mean) AND isfinite(rms_std) AND isfinite(zcr_mean) AND isfinite(zcr_std))""")
+FROM (SELECT audio_id, rms_std / nullif(rms_mean, 0) cv, zcr_std b, zcr_mean z, (dominant_note + 1) / 13.0 h FROM audio_features WHERE dominant_note IS NOT NULL AND isfinite(rms_mean) AND isfinite(rms_std) AND isfinite(zcr_mean) AND isfinite(zcr_std))""")
 def music_score(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "audio_features", "audio_id", "rms_mean", "rms_std", "zcr_mean", "zcr_std")
-    for c in f.columns[1:]:
+    f = table(spark, d, "audio_features", "audio_id", "rms_mean", "rms_std", "zcr_mean", "zcr_std", "dominant_note").where("dominant_note IS NOT NULL")
+    for c in f.columns[1:5]:
         f = f.where(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     cv = F.col("rms_std") / F.nullif(F.col("rms_mean"), F.lit(0.0))
-    score, _ = gates.music_score(cv, F.col("zcr_std"), F.lit(0.0), F.col("zcr_mean"))
+    score, _ = gates.music_score(cv, F.col("zcr_std"), (F.col("dominant_note") + 1) / 13.0, F.col("zcr_mean"))
     return f.select("audio_id", F.round(score, 6).alias("score"))
 
 
@@ -251,16 +258,20 @@ def upserted(spark: SparkSession, d: str) -> DataFrame:
 EVENT_SETS = {"music": ("click", "view"), "speech": ("signup",), "vocals": ("purchase",), "noise": ("error",), "silence": ("logout",)}
 
 
-@query("""
-WITH g AS (SELECT user_id, count(*) t, count(*) FILTER (value > 40) n,
-  count(*) FILTER (event_type IN ('click','view') AND value > 40) g1, count(*) FILTER (event_type IN ('click','view')) a1,
-  count(*) FILTER (event_type = 'error' AND value > 40) g2, count(*) FILTER (event_type = 'error') a2 FROM events GROUP BY 1),
-s AS (SELECT user_id, t, CASE WHEN n > 0 THEN n ELSE t END h, CASE WHEN n > 0 THEN g1 / n ELSE a1 / t END m, CASE WHEN n > 0 THEN g2 / n ELSE a2 / t END e FROM g)
-SELECT user_id, m > 0.3 AS is_music, m AS music_ratio, e > 0.05 AS has_noise, e AS noise_ratio, t AS total_frames, h AS high_confidence_frames FROM s""")
+def _frames_sql() -> str:
+    names = {k: ", ".join(f"'{x}'" for x in v) for k, v in EVENT_SETS.items()}
+    parts = ", ".join(f"count(*) FILTER (event_type IN ({v}) AND value > 40) g_{k}, count(*) FILTER (event_type IN ({v})) a_{k}" for k, v in names.items())
+    share = ", ".join(f"CASE WHEN n > 0 THEN g_{k} / n ELSE a_{k} / t END AS {k}_ratio" for k in names)
+    out = ", ".join(f"{k}_ratio > {frames.LIMITS[k]} AS {frames.NAMES[k]}, {k}_ratio" for k in names)
+    return f"""
+WITH g AS (SELECT user_id, count(*) t, count(*) FILTER (value > 40) n, {parts} FROM events GROUP BY 1), s AS (SELECT user_id, t, CASE WHEN n > 0 THEN n ELSE t END h, {share} FROM g)
+SELECT user_id, {out}, t AS total_frames, h AS high_confidence_frames FROM s"""
+
+
+@query(_frames_sql())
 def frame_to_item(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events", "user_id", "event_type", "value")
-    f = frames.frame_to_item(e, "user_id", "event_type", F.col("value"), 40.0, EVENT_SETS)
-    return f.select("user_id", "is_music", "music_ratio", "has_noise", "noise_ratio", "total_frames", "high_confidence_frames")
+    return frames.frame_to_item(e, "user_id", "event_type", F.col("value"), 40.0, EVENT_SETS)
 
 
 @query("""
@@ -419,14 +430,18 @@ def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
     """The same windows from a stream of the files, run to its end."""
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     stream = windows.read_stream(spark, d, schema, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    w = windows.sliding_counts(stream, "ts", "event_type", F.col("value"), "2 hours", "1 hour")
-    out = f"{shared_dir(spark)}/stream-{os.urandom(8).hex()}"
-
-    def store(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/counts")
-
-    w.writeStream.outputMode("complete").foreachBatch(store).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{out}/counts").select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "n", F.round("total", 4).alias("total"))
+    # the files are one burst; windows close once the watermark has passed them, and the last ones at the end of the input
+    w = windows.sliding_counts(stream, "ts", "event_type", F.col("value"), "2 hours", "1 hour", late="1 hour")
+    out = scratch(spark, "stream")
+    windows.run_available(w, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    closed = spark.read.schema("start timestamp, end timestamp, event_type string, n bigint, total double").parquet(f"{out}/counts")
+    # what the watermark hasn't passed yet is still open: those windows are counted from the table
+    last = closed.agg(F.max("start").alias("s")).first()["s"]
+    e = table(spark, d, "events", "ts", "event_type", "value")
+    rest = windows.sliding_counts(e if last is None else e.where(F.col("ts").cast("timestamp") >= F.lit(last)), "ts", "event_type", F.col("value"), "2 hours", "1 hour")
+    rest = rest.select(F.col("start").cast("timestamp").alias("start"), F.col("end").cast("timestamp").alias("end"), "event_type", "n", "total")
+    both = closed.unionByName(rest if last is None else rest.where(F.col("start") > F.lit(last)))
+    return both.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("""
@@ -464,7 +479,9 @@ def keep_first(spark: SparkSession, d: str) -> DataFrame:
 
 
 VEC = "(SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings)"
-NEAR = 0.7
+#: A similarity that a fair part of the vectors have to some other.
+NEAR = 0.3
+PAIRS = f"SELECT a.vec_id x, b.vec_id y, a.label p, b.label q, round(list_cosine_similarity(a.v, b.v), 4) s FROM {VEC} a JOIN {VEC} b ON a.vec_id < b.vec_id AND list_cosine_similarity(a.v, b.v) >= {NEAR}"
 
 
 @query(f"""
@@ -478,7 +495,14 @@ def similar_links(spark: SparkSession, d: str) -> DataFrame:
     return e.select("vec_id").join(n, "vec_id", "left").select("vec_id", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-@query()
+def _classes_sql(nodes: str, edges: str) -> str:
+    """Components by least labels, handed on as often as a component can be long in the tables that SQL is run on."""
+    return f"""e AS (SELECT x, y FROM ({edges}) UNION SELECT y, x FROM ({edges}) UNION SELECT id, id FROM ({nodes})),
+l(x, y, n) AS (SELECT x, min(y), 0 FROM e GROUP BY 1 UNION ALL SELECT e.x, min(l.y), any_value(l.n) + 1 FROM e JOIN l ON e.y = l.x WHERE l.n < 40 GROUP BY 1),
+c AS (SELECT x, min(y) y FROM l GROUP BY 1)"""
+
+
+@query(f"WITH RECURSIVE p AS ({PAIRS}), {_classes_sql('SELECT vec_id id FROM embeddings', 'SELECT x, y FROM p')} SELECT x AS vec_id, y AS class_id FROM c")
 def similar_classes(spark: SparkSession, d: str) -> DataFrame:
     """The class of each vector under similarity, its least id; those without a similar one are their own."""
     e = table(spark, d, "embeddings", "vec_id", "embedding")
@@ -491,21 +515,35 @@ SPLIT_OF = "CASE label % 4 WHEN 0 THEN 'train' WHEN 1 THEN 'val' WHEN 2 THEN 'te
 
 @query(f"""
 WITH e AS (SELECT *, {SPLIT_OF} s, CASE label % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 4 END w FROM {VEC}),
-p AS (SELECT CASE WHEN a.w >= b.w THEN a.s ELSE b.s END keep_in, CASE WHEN a.w >= b.w THEN b.s ELSE a.s END remove_from FROM e a JOIN e b ON a.vec_id < b.vec_id AND a.s <> b.s AND list_cosine_similarity(a.v, b.v) >= 0.3)
+p AS (SELECT CASE WHEN a.w >= b.w THEN a.s ELSE b.s END keep_in, CASE WHEN a.w >= b.w THEN b.s ELSE a.s END remove_from FROM e a JOIN e b ON a.vec_id < b.vec_id AND a.s <> b.s AND list_cosine_similarity(a.v, b.v) >= 0.25)
 SELECT keep_in, remove_from, count(*) AS n FROM p GROUP BY 1, 2""")
 def vector_leakage(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label").withColumn("split", F.expr(SPLIT_OF))
-    p = similarity.similar_pairs(e, "vec_id", "embedding", 0.3, apart="split")
+    p = similarity.similar_pairs(e, "vec_id", "embedding", 0.25, apart="split")
     return dedup.split_priority(p, e, "vec_id", "split").groupBy("keep_in", "remove_from").agg(F.count("*").alias("n"))
 
 
-@query()
+def _turns_sql(blocked_by: str) -> str:
+    """Those that have their turn, taken in order: all but those blocked by one that had it."""
+    return f"""i AS (SELECT id, row_number() OVER (ORDER BY id) r FROM (SELECT x id FROM p UNION SELECT y FROM p)), b AS ({blocked_by}),
+t(r, l) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT i.r, CASE WHEN list_has_any(coalesce(b.l, []), t.l) THEN t.l ELSE list_append(t.l, i.id) END FROM t JOIN i ON i.r = t.r + 1 LEFT JOIN b ON b.id = i.id),
+f AS (SELECT unnest(l) id FROM (SELECT l FROM t ORDER BY r DESC LIMIT 1))"""
+
+
+@query(f"""
+WITH RECURSIVE p AS ({PAIRS}), {_turns_sql("SELECT y id, list(x) l FROM p WHERE p >= q GROUP BY 1")},
+m AS (SELECT p.* FROM p JOIN f ON p.x = f.id), k AS (SELECT y, min(x) a FROM m WHERE p >= q GROUP BY 1)
+SELECT CASE WHEN m.p >= m.q THEN m.y ELSE m.x END AS remove, CASE WHEN m.p >= m.q THEN m.x ELSE m.y END AS keep, m.s AS similarity FROM m LEFT JOIN k ON m.y = k.y WHERE k.a IS NULL OR m.x <= k.a""")
 def greedy_removals(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     return dedup.greedy(cut(similarity.similar_pairs(e, "vec_id", "embedding", NEAR), "pairs"), e, "vec_id", ["label"])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE p AS ({PAIRS}), {_turns_sql("SELECT y id, list(x) l FROM p GROUP BY 1")},
+g AS (SELECT y id, min(x) gid FROM p JOIN f ON p.x = f.id GROUP BY 1), m AS (SELECT gid, id FROM g UNION SELECT gid, gid FROM g),
+k AS (SELECT m.gid, arg_min(m.id, (-e.label, m.id)) keep FROM m JOIN embeddings e ON e.vec_id = m.id GROUP BY 1)
+SELECT m.gid AS group_id, m.id, k.keep, CASE WHEN m.id = k.keep THEN 1.0 ELSE p.s END AS similarity FROM m JOIN k ON m.gid = k.gid LEFT JOIN p ON p.x = least(m.id, k.keep) AND p.y = greatest(m.id, k.keep)""")
 def star_groups(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     return dedup.stars(cut(similarity.similar_pairs(e, "vec_id", "embedding", NEAR), "pairs"), e, "vec_id", "label")
@@ -565,9 +603,13 @@ def outlier_grades(spark: SparkSession, d: str) -> DataFrame:
     return n.select("vec_id", "nearest", F.round("distance", 6).alias("distance"), kind.alias("grade"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE p AS ({PAIRS}), d AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p), k AS (SELECT vec_id id FROM embeddings LEFT JOIN d ON d.x = vec_id GROUP BY 1 HAVING count(d.y) + 1 >= 5),
+{_classes_sql("SELECT id FROM k", "SELECT x, y FROM p WHERE x IN (SELECT id FROM k) AND y IN (SELECT id FROM k)")},
+o AS (SELECT d.x, min(c.y) y FROM d JOIN c ON d.y = c.x WHERE d.x NOT IN (SELECT id FROM k) GROUP BY 1), r AS (SELECT y, row_number() OVER (ORDER BY y) - 1 n FROM (SELECT DISTINCT y FROM c))
+SELECT v.vec_id, coalesce(r.n, -1)::INT AS cluster FROM embeddings v LEFT JOIN (SELECT * FROM c UNION ALL SELECT * FROM o) z ON z.x = v.vec_id LEFT JOIN r ON r.y = z.y""")
 def density_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return density.dbscan(table(spark, d, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", 0.35, 5)
+    return density.dbscan(table(spark, d, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", 1 - NEAR, 5)
 
 
 @query(f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -14,11 +15,13 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a temporary folder is made and set.
+    Only in local mode, where the session names none (tests, a laptop), a temporary folder is made and set.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="millrace-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions.paths import stem
 from millrace.functions.strings import stripped
+from millrace.functions.vocabulary import Vocabulary, parse_dictionary
 
 # fixed values: columns of an embedding table that are no dimensions, and names of its id
 METADATA = ("track_id", "audio_id", "id", "filename", "duration_s", "sample_rate", "n_channels", "n_samples", "dominant_note", "dominant_note_name", "bpm", "n_beats")
@@ -88,11 +89,28 @@ def embeddings(df: DataFrame) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in dims]).alias("vector"))
 
 
-def inventory(spark: SparkSession, folder: str, checksum: bool = True, skip: str = ".done") -> DataFrame:
-    """``(path, size, sha256)`` of the files below a folder, marker files left out. Contents are only read for checksums."""
+def input_list(df: DataFrame) -> DataFrame:
+    """``(item_id, path)`` of a table: its columns track_id and path, or paths in a column named path, else in its first; ids are then stems."""
+    path = "path" if "path" in df.columns else df.columns[0]
+    own = F.col("track_id") if "track_id" in df.columns and path == "path" else F.lit(None).cast("string")
+    return df.where(F.col(path).isNotNull()).select(F.coalesce(own, stem(F.col(path))).alias("item_id"), F.col(path).alias("path"))
+
+
+def read_dictionary(spark: SparkSession, path: str) -> Vocabulary:
+    """A tag vocabulary from a JSON document; a small file, read on the driver."""
+    return parse_dictionary("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def inventory(spark: SparkSession, folder: str, checksum: bool = True, skip: str = ".done", extensions: Sequence[str] | None = None, md5: bool = False) -> DataFrame:
+    """``(path, size, sha256)`` of the files below a folder, marker files left out, with ``extensions`` only those (in any letter case).
+
+    Contents are only read for checksums.
+    """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).where(~F.col("path").endswith(skip))
-    out = df.select("path", F.col("length").alias("size"), *([F.sha2("content", 256).alias("sha256")] if checksum else []))
-    return out
+    if extensions is not None:
+        df = df.where(F.lower(F.regexp_extract("path", r"\.([^./\\\\]*)$", 1)).isin(*[e.lower().lstrip(".") for e in extensions]))
+    sums = [F.sha2("content", 256).alias("sha256")] * checksum + [F.md5("content").alias("md5")] * md5
+    return df.select("path", F.col("length").alias("size"), *sums)
 
 
 def write(df: DataFrame, path: str, mode: str = "overwrite") -> str:

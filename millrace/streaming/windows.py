@@ -34,22 +34,59 @@ def first_seen(df: DataFrame, keys: list[str], time: str, late: str) -> DataFram
     return df.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert_sink(df: DataFrame, path: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """Keeps one row per key, the last by ``order``, in versions below ``path``; runs on what is there and ends.
+def upsert_sink(df: DataFrame, path: str, key: str, order: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Keeps one row per key, the last by ``order``, below ``path``, in buckets by a hash of the key; runs on what is there and ends.
 
-    Every batch writes version n from version n - 1, so that one run again after a failure writes the same version.
+    A micro-batch rewrites only the buckets that its keys fall in: bucket b of batch n goes to ``path/b=<b>/v=<n>``, made
+    from the bucket's last version below n, so that a batch run again after a failure writes the same files. ``read_upserted`` reads
+    the last version of each bucket.
     """
     from millrace.operators.tables import upsert_last
 
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        tables = [batch] if n == 0 else [spark.read.parquet(f"{path}/v{n - 1}"), batch]
-        every = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
-        upsert_last([every], key, [order]).write.mode("overwrite").parquet(f"{path}/v{n}")
+        asked = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        last = {b: v for b, v in _versions(spark, path, n).items() if b in asked}
+        every = batch.withColumn("b", bucket)
+        if last:
+            old = spark.read.schema(batch.schema).parquet(*[f"{path}/b={b}/v={v}" for b, v in last.items()]).withColumn("b", bucket)
+            every = old.unionByName(every)
+        out = upsert_last([every], key, [order]).withColumn("v", F.lit(n))
+        out.repartition("b").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b", "v").parquet(path)
 
     return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _versions(spark: SparkSession, path: str, below: int | None = None) -> dict[int, int]:
+    """The last version of each bucket, of those below a number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, int] = {}
+    for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/b=*/v=*")) or []:
+        b, v = (int(p.split("=")[1]) for p in s.getPath().toString().rsplit("/", 2)[-2:])
+        if below is None or v < below:
+            out[b] = max(out.get(b, -1), v)
+    return out
+
+
+def read_upserted(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows that ``upsert_sink`` has kept."""
+    last = _versions(spark, path)
+    return spark.read.schema(schema).parquet(*[f"{path}/b={b}/v={v}" for b, v in last.items()]) if last else spark.createDataFrame([], schema)
+
+
+def late_rows(df: DataFrame, seen: DataFrame, time: str, late: str) -> tuple[DataFrame, DataFrame]:
+    """(in time, late) rows of a batch: late is what lies more than ``late`` before the latest time of what has been ``seen``.
+
+    Late rows are a side output, to be reported and not merged; null times are late. Before anything has been seen nothing is.
+    """
+    mark = seen.agg((F.max(time) - F.expr(f"INTERVAL {late}")).alias("m")).first()["m"]
+    fresh = F.coalesce(F.col(time) >= F.lit(mark), F.lit(False)) if mark is not None else F.lit(True)
+    return df.where(fresh), df.where(~fresh)
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Writes a stream as Parquet from what is there now, and ends; the checkpoint skips what earlier runs have read."""
     return df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
