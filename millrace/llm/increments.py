@@ -5,9 +5,11 @@ them unchanged, at most tau places away. The index stores the segments of accept
 a batch probes it with its own substrings at the places where a segment can stand, and candidates are verified by their
 distance. Only accepted records are stored, as only they can reject.
 
-Here a segment's key also holds a slot of the file's size, as records with other sizes can't match. The same index holds
-the whole hash and, for cut-off hashes, its beginning. It is stored by buckets of its keys: a batch reads the buckets that
-its own keys fall in and keeps of them what its keys ask for; only that is joined.
+Here a segment's key also holds a slot of the file's size, as records with other sizes can't match: slots twice as wide
+as the greatest difference, on two grids half a slot apart, so that sizes that may match share a slot of one. The same
+index holds the whole hash and, for cut-off hashes, its beginning. Index entries are a key and a class's number; hashes,
+sizes and records stand once per class beside them and are only read for candidates. Both are stored by buckets: a batch
+reads the buckets that its own keys fall in, and keeps of them what its keys ask for.
 """
 
 from __future__ import annotations
@@ -98,21 +100,30 @@ def _prefixes(df: DataFrame, asks: bool) -> DataFrame:
     return df.withColumn("key", F.xxhash64("key", "x.side", F.col("sha").substr(F.lit(1), F.col("x.len")))).drop("x")
 
 
-def _meeting(ask: DataFrame, held: DataFrame, crowded: int, on, deeper) -> list[DataFrame]:
-    """Joins of ``ask`` and ``held`` by ``key``, that of crowded keys after both have been cut ``deeper``, as often as it takes."""
-    found = []
-    for _ in range(16):
-        many = held.groupBy("key").agg(F.count("*").alias("n"))
-        written = Table(held.join(many, "key"), "held", count=F.col("n") > crowded)
-        light, heavy = written.df.where(F.col("n") <= crowded).drop("n"), written.df.where(F.col("n") > crowded).drop("n")
-        if not written.counted:
-            found.append(on(ask, light))
+def _crowded(held: DataFrame, crowded: int) -> DataFrame | None:
+    """The keys held by more than ``crowded`` entries; none is the rule."""
+    heavy = Table(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("key"), "crowded", count=F.lit(True))
+    return heavy.df if heavy.counted else None
+
+
+def _meeting(ask: DataFrame, held: DataFrame, crowded: int, on, deeper, load=lambda ask, held: (ask, held)) -> DataFrame:
+    """The join ``on`` of ``ask`` and ``held`` by ``key``, that of crowded keys after both have been cut ``deeper``, as often as it takes.
+
+    ``load`` adds what ``deeper`` needs to the entries of crowded keys.
+    """
+    found = None
+    for depth in range(16):
+        heavy = _crowded(held, crowded)
+        light = lambda df: df if heavy is None else df.join(heavy, "key", "left_anti")
+        got = on(light(ask), light(held))
+        found = got if found is None else found.unionByName(got)
+        if heavy is None:
             return found
-        keys = heavy.select("key").distinct()
-        found.append(on(ask, light))
-        ask, held = cut(deeper(ask.join(keys, "key", "left_semi"), True), "ask"), deeper(heavy, False)
-    found.append(on(ask, held))  # by now all of a string but tau places agrees
-    return found
+        ask, held = ask.join(heavy, "key", "left_semi"), held.join(heavy, "key", "left_semi")
+        if not depth:
+            ask, held = load(ask, held)
+        ask, held = cut(deeper(ask, True), "ask"), cut(deeper(held, False), "held")
+    return found.unionByName(on(ask, held))  # by now all of a string but tau places agrees
 
 
 def near_strings(batch: DataFrame, stored: DataFrame | None, tau: int, substitutions: bool = False, crowded: int = CROWDED) -> DataFrame:
@@ -122,44 +133,39 @@ def near_strings(batch: DataFrame, stored: DataFrame | None, tau: int, substitut
     than ``crowded`` are paired only if some part of the rest agrees, too, and so on, which loses no pair: what is left
     to be paired in the end are strings within tau of one another.
     """
-    ask = probes(batch, tau, substitutions).withColumn("rest", F.col("s"))
-    held = segments(batch, tau)
+    ask, held = probes(batch, tau, substitutions), segments(batch, tau)
     if stored is not None:  # of the history only what the batch asks for
         held = held.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi"))
-    held = held.withColumn("rest", F.col("s"))
     pair = lambda x, y: x.select("key", F.col("s").alias("a")).join(y.select("key", F.col("s").alias("b")), "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = _meeting(ask, held, crowded, pair, lambda df, _: _deeper(df, tau)) if substitutions else [pair(ask, held)]
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
+    load = lambda ask, held: (ask.withColumn("rest", F.col("s")), held.withColumn("rest", F.col("s")))
+    pairs = _meeting(ask, held, crowded, pair, lambda df, _: _deeper(df, tau), load) if substitutions else pair(ask, held)
     return pairs.distinct().where(_distance_within(F.col("a"), F.col("b"), tau, substitutions))
 
 
 def classes_of(records: DataFrame) -> DataFrame:
-    """Records (id, ts, sha, bytes) of the same hash and size as one row ``(cid, sha, bytes, first)``.
+    """Records (id, ts, sha, bytes) of the same hash and size as one row ``(cid, sha, bytes, first, n)``.
 
-    They match the same records and one another, so that they share their fate: ``first``, the earliest, stands for all.
+    They match the same records and one another, so that they share their fate: ``first``, the earliest, stands for all ``n``.
     """
-    c = records.where("sha <> ''").groupBy("sha", "bytes").agg(F.min(F.struct("ts", "id")).alias("first"))
+    c = records.where("sha <> ''").groupBy("sha", "bytes").agg(F.min(F.struct("ts", "id")).alias("first"), F.count("*").alias("n"))
     return c.withColumn("cid", F.unhex(F.md5(F.concat_ws("/", "sha", F.coalesce(F.col("bytes").cast("string"), F.lit(""))))))
 
 
-def entries(classes: DataFrame, slots: tuple[int, ...] = (0,)) -> DataFrame:
-    """What stands in the index for ``classes``, with ``kind``, ``i`` and ``key``: the hash; its segments, where it is whole and its
-    size known, each with its size's slot; its beginning, where it is long enough and its size known.
-
-    A probe has the neighbouring ``slots``, too, as sizes up to ``SPREAD`` apart lie in the same or a neighbouring one.
+def entries(classes: DataFrame) -> DataFrame:
+    """``(cid, kind, i, key)``: what stands in the index for ``classes``, and what they ask it for: the hash; its segments, where it is
+    whole and its size known, each with its size's slot on either grid; its beginning, where it is long enough and its size known.
     """
+    width = 2 * (SPREAD + 1)
     found = [f"named_struct('kind', {EQUAL}, 'i', 0, 'key', xxhash64({EQUAL}, sha))"]
     for i in range(TAU + 1):
         a, b = FULL * i // (TAU + 1), FULL * (i + 1) // (TAU + 1)
         found += [
-            f"CASE WHEN whole THEN named_struct('kind', {SEGMENT}, 'i', {i}, 'key', xxhash64({SEGMENT}, {FULL}, {i}, substring(sha, {a + 1}, {b - a}), slot + {s}L)) END" for s in slots
+            f"CASE WHEN whole THEN named_struct('kind', {SEGMENT}, 'i', {i}, 'key', xxhash64({SEGMENT}, {FULL}, {i}, substring(sha, {a + 1}, {b - a}), {grid}, floor((bytes + {grid * width // 2}) / {width}))) END"
+            for grid in (0, 1)
         ]
     found.append(f"CASE WHEN bytes IS NOT NULL AND length(sha) >= {PREFIX} THEN named_struct('kind', {HEAD}, 'i', 0, 'key', xxhash64({HEAD}, substring(sha, 1, {PREFIX}), bytes)) END")
-    own = ("cid", "sha", "bytes", "first")
-    rows = classes.selectExpr(*own, f"floor(bytes / {SPREAD + 1}) AS slot", f"bytes IS NOT NULL AND sha RLIKE '^[0-9a-f]{{{FULL}}}$' AS whole")
-    return rows.selectExpr(*own, f"explode(filter(array({', '.join(found)}), e -> e IS NOT NULL)) AS e").select(*own, "e.*")
+    rows = classes.selectExpr("cid", "sha", "bytes", f"bytes IS NOT NULL AND sha RLIKE '^[0-9a-f]{{{FULL}}}$' AS whole")
+    return rows.selectExpr("cid", f"explode(filter(array({', '.join(found)}), e -> e IS NOT NULL)) AS e").select("cid", "e.*")
 
 
 def _matches() -> Column:
@@ -171,41 +177,48 @@ def _matches() -> Column:
     return F.expr(f"CASE kind WHEN {EQUAL} THEN sha = sha2 WHEN {SEGMENT} THEN {near} ELSE {begins} END")
 
 
-def matches(new: DataFrame, stored: DataFrame | None, crowded: int = CROWDED) -> DataFrame:
+def matches(new: DataFrame, asked: DataFrame | None = None, stored: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
     """``(late, early, first, old)``: classes of ``new`` with each class before them that they match, stored ones being ``old``.
 
-    Those of ``new`` with equal hashes aren't paired. ``stored`` are entries.
+    Those of ``new`` with equal hashes aren't paired. ``asked`` are the stored entries whose keys ``new`` has, too, ``stored`` all stored classes.
     """
-    ask = entries(new, (-1, 0, 1))
-    held = entries(new).where(F.col("kind") != EQUAL).withColumn("old", F.lit(False))
-    if stored is not None:
-        held = held.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi").withColumn("old", F.lit(True)))
-    ask, held = ask.withColumn("rest", F.col("sha")), held.withColumn("rest", F.col("sha"))
+    ask = entries(new)
+    held = ask.where(F.col("kind") != EQUAL).withColumn("old", F.lit(False))
+    if asked is not None:
+        held = held.unionByName(asked.withColumn("old", F.lit(True)))
+    own = new.select("cid", "sha", "bytes", "first")
+
+    def known(of: DataFrame) -> DataFrame:
+        """Classes of the batch, and those of history that ``of`` (cid) names."""
+        return own if stored is None else own.unionByName(stored.join(of.select("cid").distinct(), "cid", "left_semi").select(own.columns)).distinct()
+
+    def load(ask: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        text = lambda df: df.withColumn("rest", F.col("sha"))
+        return text(ask.join(own.select("cid", "sha"), "cid")), text(held.join(known(held).select("cid", "sha"), "cid"))
 
     def pair(x: DataFrame, y: DataFrame) -> DataFrame:
-        y = y.select("key", F.col("cid").alias("early"), F.col("sha").alias("sha2"), F.col("bytes").alias("bytes2"), F.col("first").alias("first2"), "old")
-        met = x.join(y, "key").where("first2 < first").where(_matches())
-        return met.select(F.col("cid").alias("late"), "early", F.col("first2").alias("first"), "old")
+        y = y.select("key", F.col("cid").alias("early"), "old")
+        return x.select("key", "kind", F.col("cid").alias("late")).join(y, "key").where("old OR late <> early").select("late", "early", "kind", "old")
 
     def deeper(df: DataFrame, asks: bool) -> DataFrame:
         return _deeper(df.where(F.col("kind") == SEGMENT), TAU).unionByName(_prefixes(df.where(F.col("kind") == HEAD), asks)).unionByName(df.where(F.col("kind") == EQUAL))
 
-    found = _meeting(ask, held, crowded, pair, deeper)
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return cut(out.distinct(), "matches")
+    pairs = cut(_meeting(ask, held, crowded, pair, deeper, load).distinct(), "pairs")
+    late = own.select(F.col("cid").alias("late"), "sha", "bytes", F.col("first").alias("mine"))
+    early = known(pairs.where("old").select(F.col("early").alias("cid"))).select(F.col("cid").alias("early"), F.col("sha").alias("sha2"), F.col("bytes").alias("bytes2"), "first")
+    met = pairs.join(late, "late").join(early, "early").where("first < mine").where(_matches())
+    return cut(met.select("late", "early", "first", "old").distinct(), "matches")
 
 
-def decide(new: DataFrame, stored: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
-    """``(cid, sha, bytes, first, rep)`` for the new classes: ``rep`` is the earliest accepted record that rejects it, or null.
+def decide(new: DataFrame, asked: DataFrame | None = None, stored: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
+    """``(cid, sha, bytes, first, n, rep)`` for the new classes: ``rep`` is the earliest accepted record that rejects it, or null.
 
     Records are taken in the order of ``first``, and one is rejected if it matches one accepted before. Stored classes are
     accepted, so that what matches one is settled at once; of the rest, only those that match one another wait for one another.
     Of equal hashes with different sizes the first accepted one rejects all later ones. ``new`` is read several times and
     should be a written table.
     """
-    edges = matches(new, stored, crowded)
+    edges = matches(new, asked, stored, crowded)
     known = edges.where("old").groupBy(F.col("late").alias("cid")).agg(F.min("first").alias("rep"))
     rest = new.join(known, "cid", "left_anti")
     ids = rest.select("cid")
@@ -223,7 +236,7 @@ def decide(new: DataFrame, stored: DataFrame | None = None, crowded: int = CROWD
     lost = by_edge.join(settled.where("NOT ok").select(F.col("id").alias("cid")), "cid", "left_semi").unionByName(by_hash)
     plain = rest.join(shared.join(mixed, "sha", "left_anti"), "sha").where("lead < first").select("cid", F.col("lead").alias("rep"))
     best = lost.unionByName(plain).groupBy("cid").agg(F.min("rep").alias("rep")).unionByName(known)
-    return new.join(best, "cid", "left").select("cid", "sha", "bytes", "first", "rep")
+    return new.join(best, "cid", "left").select("cid", "sha", "bytes", "first", "n", "rep")
 
 
 def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
@@ -231,7 +244,8 @@ def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
 
     Of an accepted class the first record is accepted and the rest repeat it; of a rejected one all repeat what it repeats.
     """
-    d = decided.select("sha", F.col("bytes").alias("b"), "first", F.coalesce("rep.id", "first.id").alias("repeats"), F.col("rep").isNotNull().alias("out"))
+    # single records that are accepted, most of them as a rule, need not be looked for
+    d = decided.where("rep IS NOT NULL OR n > 1").select("sha", F.col("bytes").alias("b"), "first", F.coalesce("rep.id", "first.id").alias("repeats"), F.col("rep").isNotNull().alias("out"))
     r = records.join(d, (records["sha"] == d["sha"]) & records["bytes"].eqNullSafe(d["b"]))
     return r.where(F.col("out") | (F.struct("ts", "id") != F.col("first"))).select("id", "repeats").distinct()
 
@@ -239,7 +253,7 @@ def rejected(records: DataFrame, decided: DataFrame) -> DataFrame:
 class History:
     """The index of what has been accepted so far, in a folder.
 
-    Each batch adds a run: its entries, partitioned by buckets of their keys. A log file per batch names the runs that
+    Each batch adds a run: its classes and their entries, by buckets. A log file per batch names the runs that
     count and is written last, by a rename, so that a batch that fails midway leaves nothing that is read; the folder
     alone tells what is stored, and another object, driver or day goes on where the last one ended. One writer at a time.
     A batch that is added again, as after a lost driver, has the same rejects and stores no class twice.
@@ -273,35 +287,46 @@ class History:
         if not fs.rename(draft, path):
             raise RuntimeError(f"another writer has stored batch {n}")
 
-    def stored(self, new: DataFrame) -> DataFrame | None:
-        """The stored entries of the buckets that the keys of ``new`` fall in; at most ``buckets`` numbers come to the driver."""
-        spark = new.sparkSession
+    def _read(self, like: DataFrame, name: str, key: str, of: DataFrame | None) -> DataFrame | None:
+        """A stored table, ``like`` which it is; of it the buckets that the keys ``of`` fall in, where they are few."""
+        spark = like.sparkSession
         _, log = self._log(spark)
         if not log["runs"]:
             return None
-        shape = entries(new).schema.add("run", "integer").add("b", "integer")
-        df = spark.read.schema(shape).option("basePath", self.path).parquet(*[f"{self.path}/run={r}" for r in log["runs"]])
-        if new.limit(log["buckets"] + 1).count() <= log["buckets"]:  # a larger batch asks for all of them
-            asked = entries(new, (-1, 0, 1)).select(F.pmod("key", F.lit(log["buckets"])).cast("int")).distinct().collect()
-            df = df.where(F.col("b").isin(sorted(r[0] for r in asked)))
+        root = f"{self.path}/{name}"
+        shape = like.schema.add("run", "integer").add("b", "integer")
+        df = spark.read.schema(shape).option("basePath", root).parquet(*[f"{root}/run={r}" for r in log["runs"]])
+        if of is not None:
+            few = of.select(key).limit(4 * log["buckets"] + 1).collect()  # bounded; with more keys all buckets are asked for
+            if len(few) <= 4 * log["buckets"]:
+                asked = of.select(F.pmod(F.xxhash64(key), F.lit(log["buckets"])).cast("int")).distinct().collect()
+                df = df.where(F.col("b").isin(sorted(r[0] for r in asked)))
         return df.drop("run", "b")
 
-    def _write(self, df: DataFrame, run: int, buckets: int) -> None:
-        df = df.withColumn("b", F.pmod("key", F.lit(buckets)).cast("int"))
-        df.repartition("b").sortWithinPartitions("b", "key").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/run={run}")
+    def index(self, new: DataFrame) -> DataFrame | None:
+        """Stored entries, at least those that the classes ``new`` ask for."""
+        e = entries(new)
+        return self._read(e, "index", "key", e)
+
+    def _write(self, classes: DataFrame, index: DataFrame, run: int, buckets: int) -> None:
+        for name, key, df in (("classes", "cid", classes), ("index", "key", index)):
+            df = df.withColumn("b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            df.repartition("b").sortWithinPartitions("b", key).write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/{name}/run={run}")
 
     def add(self, records: DataFrame) -> DataFrame:
         """Rejects of a batch ``records`` (id, ts, sha, bytes) later than all before it; what is accepted is appended."""
         spark = records.sparkSession
         new = cut(classes_of(records), "classes")
-        stored = self.stored(new)
-        decided = cut(decide(new, stored), "decided")
+        index, stored, asked = self.index(new), self._read(new, "classes", "cid", None), None
+        if index is not None:
+            asked = cut(index.join(entries(new).select("key").distinct(), "key", "left_semi"), "asked")
+        decided = cut(decide(new, asked, stored), "decided")
         out = cut(rejected(records, decided), "rejected")
-        good = decided.where("rep IS NULL").select("cid", "sha", "bytes", "first")
-        if stored is not None:  # a batch that is added again finds itself
-            good = good.join(stored.where(F.col("kind") == EQUAL).select("cid"), "cid", "left_anti")
+        good = decided.where("rep IS NULL").select("cid", "sha", "bytes", "first", "n")
+        if asked is not None:  # a batch that is added again finds itself
+            good = good.join(asked.where(F.col("kind") == EQUAL).select("cid"), "cid", "left_anti")
         n, log = self._log(spark)
-        self._write(entries(good), n + 1, log["buckets"])
+        self._write(good, entries(good), n + 1, log["buckets"])
         self._commit(spark, n + 1, {"buckets": log["buckets"], "runs": [*log["runs"], n + 1]})
         return out
 
@@ -310,9 +335,10 @@ class History:
         n, log = self._log(spark)
         if not log["runs"]:
             return
-        old = [f"{self.path}/run={r}" for r in log["runs"]]
-        self._write(spark.read.parquet(*old).drop("b"), n + 1, buckets or log["buckets"])
+        whole = [spark.read.parquet(*[f"{self.path}/{name}/run={r}" for r in log["runs"]]).drop("b") for name in ("classes", "index")]
+        self._write(*whole, n + 1, buckets or log["buckets"])
         self._commit(spark, n + 1, {"buckets": buckets or log["buckets"], "runs": [n + 1]})
         for r in log["runs"]:
-            fs, path = self._hadoop(spark, f"run={r}")
-            fs.delete(path, True)
+            for name in ("classes", "index"):
+                fs, path = self._hadoop(spark, f"{name}/run={r}")
+                fs.delete(path, True)
