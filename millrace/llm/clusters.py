@@ -101,73 +101,102 @@ def _reduce(cells: list[str], values: list[str], flush: int = 200_000):
     return run
 
 
-def _links(cells: list[str], values: list[str], widths: np.ndarray, k: int, pairs_at_once: int = 4_000_000):
-    """From rows sorted by band key: the linked pairs of cells that meet, each pair under its first shared key only."""
+def _spans(count: np.ndarray, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For ``count[i]`` items of each i: (i, number of the item within i) of all items, so many at a time (at least one i)."""
+    upto = np.concatenate(([0], np.cumsum(count)))
+    i = 0
+    while i < len(count):
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + at_once, "right")) - 1)
+        n = count[i:j]
+        owner = np.repeat(np.arange(i, j), n)
+        yield owner, np.arange(len(owner)) - np.repeat(upto[i:j] - upto[i], n)
+        i = j
+
+
+def _near_rows(x: np.ndarray, a: np.ndarray, b: np.ndarray, starts: np.ndarray, stops: np.ndarray, low: np.ndarray, high: np.ndarray, widths: np.ndarray, at_once: int) -> np.ndarray:
+    """Whether some row of cell ``a[p]`` lies within ``widths`` of some row of cell ``b[p]``, for each p."""
+    found = np.zeros(len(a), bool)
+    na, nb = stops[a] - starts[a], stops[b] - starts[b]
+    small = na * nb <= 4096
+    idx = np.flatnonzero(small)
+    for p, k in _spans((na * nb)[idx], at_once):
+        p = idx[p]
+        hit = (np.abs(x[starts[a[p]] + k // nb[p]] - x[starts[b[p]] + k % nb[p]]) <= widths).all(1)
+        found[p[hit]] = True
+    for p in np.flatnonzero(~small):
+        # of either cell only what lies within reach of the other's box
+        r, t = x[starts[a[p]] : stops[a[p]]], x[starts[b[p]] : stops[b[p]]]
+        r = r[((r >= low[b[p]] - widths) & (r <= high[b[p]] + widths)).all(1)]
+        t = t[((t >= low[a[p]] - widths) & (t <= high[a[p]] + widths)).all(1)]
+        step = max(1, at_once // max(1, len(t)))
+        found[p] = any((np.abs(r[s : s + step, None] - t[None]) <= widths).all(2).any() for s in range(0, len(r), step))
+    return found
+
+
+def _links(cells: list[str], values: list[str], widths: np.ndarray, k: int, pairs_at_once: int = 1_000_000):
+    """From rows sorted by band key and cell: the linked pairs of cells that meet, each pair under its first shared key only."""
     f = len(cells)
     keyed = bands(k, f)
-
-    def band(c: np.ndarray, x: np.ndarray, at: int) -> np.ndarray:
-        cuts = np.flatnonzero(np.append(True, (c[1:] != c[:-1]).any(1)))
-        stops = np.append(cuts[1:], len(c))
-        u = c[cuts]
-        if len(u) < 2:
-            return np.zeros((0, 2 * f), np.int64)
-        low, high = np.minimum.reduceat(x, cuts), np.maximum.reduceat(x, cuts)
-        coarse = np.stack([np.floor_divide(u + t, k) for t in range(k)], 1)
-        left, right = [], []
-        step = max(1, pairs_at_once // (8 * len(u)))
-        for s in range(0, len(u), step):
+    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93] * f, np.uint64)[:f]
+
+    def linked(key: np.ndarray, c: np.ndarray, x: np.ndarray) -> Iterator[np.ndarray]:
+        fresh = (key[1:] != key[:-1]).any(1)
+        starts = np.flatnonzero(np.append(True, fresh | (c[1:] != c[:-1]).any(1)))
+        stops = np.append(starts[1:], len(c))
+        u, at = c[starts], key[starts, 0]
+        groups = np.flatnonzero(np.append(True, (key[starts][1:] != key[starts][:-1]).any(1)))
+        ends = np.repeat(np.append(groups[1:], len(u)), np.diff(np.append(groups, len(u))))
+        low, high = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
+        # the token of each grid as one number
+        with np.errstate(over="ignore"):
+            tokens = [(np.floor_divide(u + t, k).astype(np.uint64) * odd).sum(1, dtype=np.uint64) for t in range(k)]
+        for i, j in _spans(ends - 1 - np.arange(len(u)), pairs_at_once):
+            j = i + 1 + j
             # exact Jaccard of the token sets: n shared of 2k - n, at least (k - f) of (k + f)
-            n = np.zeros((min(step, len(u) - s), len(u)), np.int8)
-            for t in range(k):
-                n += (coarse[s : s + step, None, t] == coarse[None, :, t]).all(2)
-            i, j = np.nonzero(n.astype(np.int64) * (k + f) >= (k - f) * (2 * k - n.astype(np.int64)))
-            i += s
-            # boxes too far apart hold no link; of single records the box is the record
-            ok = (i < j) & (np.maximum(low[j] - high[i], low[i] - high[j]) <= widths).all(1)
-            left.append(i[ok]), right.append(j[ok])
-        i, j = np.concatenate(left), np.concatenate(right)
-        same = (coarse[i] == coarse[j]).all(2)
-        first = np.argmax(np.stack([same[:, g] & same[:, h] for g, h in keyed], 1), 1) == at if len(i) else np.zeros(0, bool)
-        i, j = i[first], j[first]
-        size = stops - cuts
-        linked = (size[i] == 1) & (size[j] == 1)
-        for p in np.flatnonzero(~linked):
-            a, b = x[cuts[i[p]] : stops[i[p]]], x[cuts[j[p]] : stops[j[p]]]
-            # of either cell only what lies within reach of the other's box
-            a = a[((a >= low[j[p]] - widths) & (a <= high[j[p]] + widths)).all(1)]
-            b = b[((b >= low[i[p]] - widths) & (b <= high[i[p]] + widths)).all(1)]
-            if len(a) and len(b):
-                rows_at_once = max(1, pairs_at_once // len(b))
-                linked[p] = any((np.abs(a[s : s + rows_at_once, None] - b[None]) <= widths).all(2).any() for s in range(0, len(a), rows_at_once))
-        return np.hstack([u[i[linked]], u[j[linked]]])
+            same = [t[i] == t[j] for t in tokens]
+            n = np.sum(same, 0, dtype=np.int64)
+            ok = n * (k + f) >= (k - f) * (2 * k - n)
+            # under its first shared key; boxes too far apart hold no link, and of single records the box is the record
+            first = np.zeros(len(i), bool)
+            seen = np.zeros(len(i), bool)
+            for q, (g, h) in enumerate(keyed):
+                both = same[g] & same[h]
+                first |= both & ~seen & (at[i] == q)
+                seen |= both
+            ok &= first
+            i, j = i[ok], j[ok]
+            ok = (np.maximum(low[j] - high[i], low[i] - high[j]) <= widths).all(1)
+            i, j = i[ok], j[ok]
+            single = (stops[i] - starts[i] == 1) & (stops[j] - starts[j] == 1)
+            yield np.hstack([u[i[single]], u[j[single]]])
+            i, j = i[~single], j[~single]
+            near = _near_rows(x, i, j, starts, stops, low, high, widths, pairs_at_once)
+            yield np.hstack([u[i[near]], u[j[near]]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f"a_{c}" for c in cells] + [f"b_{c}" for c in cells]
-        open_: list[pd.DataFrame] = []  # parts of the band that may go on with the next batch
 
-        def close() -> pd.DataFrame:
-            b = pd.concat(open_, ignore_index=True) if len(open_) > 1 else open_[0]
-            return band(b[cells].to_numpy(), b[values].to_numpy(float), int(b["band"].iloc[0]))
+        def close(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            b = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+            for found in linked(b[["band", "key"]].to_numpy(), b[cells].to_numpy(), b[values].to_numpy(float)):
+                if len(found):
+                    yield pd.DataFrame(found, columns=names)
 
+        open_: list[pd.DataFrame] = []  # whole bands, and parts of the last one, which may go on with the next batch
         for b in batches:
             if not len(b):
                 continue
             key = b[["band", "key"]].to_numpy()
-            cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1))), len(b))
-            if open_ and (open_[-1][["band", "key"]].to_numpy()[-1] == key[0]).all():
-                open_.append(b.iloc[: cuts[1]])
-                cuts = cuts[1:]
-                if len(cuts) == 1:
-                    continue
-            found = [close()] if open_ else []
-            c, x = b[cells].to_numpy(), b[values].to_numpy(float)
-            found += [band(c[cuts[i] : cuts[i + 1]], x[cuts[i] : cuts[i + 1]], int(key[cuts[i]][0])) for i in range(len(cuts) - 2)]
-            open_ = [b.iloc[cuts[-2] :]]
-            if found:
-                yield pd.DataFrame(np.concatenate(found), columns=names)
+            last = int(np.flatnonzero((key != key[-1]).any(1))[-1]) + 1 if (key != key[-1]).any() else 0
+            goes_on = not last and open_ and (open_[-1][["band", "key"]].to_numpy()[-1] == key[0]).all()
+            if goes_on:
+                open_.append(b)
+                continue
+            if last or open_:
+                yield from close([*open_, b.iloc[:last]] if last else open_)
+            open_ = [b.iloc[last:]]
         if open_:
-            yield pd.DataFrame(close(), columns=names)
+            yield from close(open_)
 
     return run
 
