@@ -27,7 +27,8 @@ def unit(v: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Null where either has no length."""
+    return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
 def distance(a: Column, b: Column) -> Column:

@@ -186,7 +186,7 @@ def fill_missing(df: DataFrame, defaults: Mapping[str, object]) -> tuple[DataFra
 
 
 def required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows that have a value in each of those of the columns that the table has."""
+    """The rows that have a value, other than null and NaN, in each of those of the columns that the table has."""
     there = [c for c in columns if c in df.columns]
     return df.na.drop(subset=there) if there else df
 

@@ -113,7 +113,7 @@ def quality(x: Column, size: int = FRAME, hop: int = HOP, quiet: float = 0.01, c
     Frames below ``quiet`` are silent, and their power is the noise's. Without a silent frame, or where noise has no
     power, the ratio is infinite. The dynamic range is the loudest frame above the 5th percentile of frames with any power.
     """
-    n = F.size(x)
+    n = F.nullif(F.size(x), F.lit(0))
     level = F.transform(frames(x, size, hop), rms)
     still = F.filter(level, lambda v: v < quiet)
     loud = F.filter(level, lambda v: v >= quiet)

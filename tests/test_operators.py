@@ -108,7 +108,7 @@ def test_paths(spark):
 
 def test_exact_duplicates(spark):
     df = spark.createDataFrame([("h", "b", 5), ("h", "a", 5), ("h", "c", 9), ("h", "c", 9), ("u", "d", 1), (None, "e", 1), (None, "f", 1), ("h", None, 99)], "sha string, id string, n bigint")
-    assert rows(dedup.exact_groups(df, "sha", "id", "n")) == [("h", "c", 3, ("a", "b"))]
+    assert rows(dedup.exact_groups(df, "sha", "id", "n")) == [("h", "c", 3)]
     assert rows(dedup.exact_links(df, "sha", "id", "n")) == [("a", "c"), ("b", "c")]
     assert rows(dedup.keep_first(df, "sha", [F.coalesce("id", F.lit("~")), F.col("n")]).select("id")) == [("a",), ("d",), ("e",), ("f",)]
     assert rows(dedup.exact_groups(df.limit(0), "sha", "id", "n")) == []
@@ -136,6 +136,18 @@ def test_similar_pairs_against_brute_force(spark, block):
     assert rows(similarity.similar_pairs(df.limit(0), "id", "v", 0.5)) == []
 
 
+def test_far_blocks_are_not_compared(spark):
+    """Clusters far from one another: most pairs of blocks hold no similar pair, and rows are shipped to few of them."""
+    rnd = np.random.default_rng(2)
+    c = np.eye(8)
+    x = c[np.arange(400) % 8] + rnd.normal(0, 0.01, (400, 8))
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(400)], "id bigint, v array<double>")
+    got = similarity.similar_pairs(df, "id", "v", 0.95, block=50)
+    assert got.count() == 8 * 50 * 49 // 2
+    made = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(others" in made
+
+
 def test_near_duplicate_policies(spark):
     pairs = spark.createDataFrame([(1, 2, 0.95), (1, 3, 0.95), (2, 4, 0.95), (3, 4, 0.92), (8, 9, 0.99)], "id_1 bigint, id_2 bigint, similarity double")
     items = spark.createDataFrame([(1, 1.0, 10), (2, 2.0, 5), (3, 1.0, 50), (4, 1.0, 1), (8, 1.0, 1), (9, 1.0, 1)], "id bigint, q double, n bigint")

@@ -57,9 +57,10 @@ def test_stream_equals_batch(spark, tmp_path):
     once = windows.first_seen(windows.read_stream(spark, str(tmp_path / "in"), "id int, ts timestamp, k string, v double"), ["k"], "ts", "1 day")
     windows.run_available(once, str(tmp_path / "once"), str(tmp_path / "cp1")).awaitTermination()
     assert {r["k"] for r in spark.read.parquet(str(tmp_path / "once")).collect()} == {"a", "b"}
-    windows.upsert_sink(windows.read_stream(spark, str(tmp_path / "in"), "id int, ts timestamp, k string, v double", 1), str(tmp_path / "up"), "k", "v", str(tmp_path / "cp2")).awaitTermination()
-    last = sorted((tmp_path / "up").glob("v*"), key=lambda p: int(p.name[1:]))[-1]
-    assert {(r["k"], r["v"]) for r in spark.read.parquet(str(last)).collect()} == {("a", 198.0), ("b", 199.0)}
+    shape = "id int, ts timestamp, k string, v double"
+    windows.upsert_sink(windows.read_stream(spark, str(tmp_path / "in"), shape, 1), str(tmp_path / "up"), "k", "v", str(tmp_path / "cp2"), buckets=4).awaitTermination()
+    assert {(r["k"], r["v"]) for r in windows.read_upserted(spark, str(tmp_path / "up"), shape).collect()} == {("a", 198.0), ("b", 199.0)}
+    assert windows.read_upserted(spark, str(tmp_path / "none"), shape).count() == 0
 
 
 def test_sessions(spark):
@@ -112,8 +113,12 @@ def test_kernels(spark):
 
         return length
 
+    def missing():
+        raise ImportError("no such model")
+
     df = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, "x")], "i int, t string")
-    assert rows(kernels.apply_kernel(df, load, "n bigint", ["i"])) == [(1, 3), (2, None), (3, 1)]
+    assert rows(kernels.apply_kernel(df, load, "n bigint", ["i"])) == [(1, 3, None), (2, None, "ValueError: "), (3, 1, None)]
+    assert rows(kernels.apply_kernel(df.limit(1), [missing, load], "n bigint", ["i"])) == [(1, 3, None)]
     assert rows(kernels.apply_kernel(df.limit(0), load, "n bigint", ["i"])) == []
     cache = spark.createDataFrame([("abc", 99), ("zzz", 1)], "t string, n bigint")
     got, new = kernels.remembered(df.select("t"), cache, "t", lambda m: m.withColumn("n", F.length("t").cast("bigint")))
