@@ -24,6 +24,8 @@ from millrace.runtime import Table, cut
 
 #: A key held by more strings than this is cut further before they are paired.
 CROWDED = 500
+#: How often, at most: each cut takes tau + 1 entries per entry. Of 64 digits 45 agree by then; what is still crowded is paired.
+DEPTH = 2
 #: Buckets of a stored index.
 BUCKETS = 32
 FULL, PREFIX, SPREAD, TAU = 64, 16, 64, 2
@@ -100,45 +102,41 @@ def _prefixes(df: DataFrame, asks: bool) -> DataFrame:
     return df.withColumn("key", F.xxhash64("key", "x.side", F.col("sha").substr(F.lit(1), F.col("x.len")))).drop("x")
 
 
-def _crowded(held: DataFrame, crowded: int) -> DataFrame | None:
-    """The keys held by more than ``crowded`` entries; none is the rule."""
-    heavy = Table(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("key"), "crowded", count=F.lit(True))
-    return heavy.df if heavy.counted else None
+def _meeting(ask: DataFrame, held: DataFrame, pool: DataFrame, crowded: int, on, deeper, load) -> DataFrame:
+    """The join ``on`` of ``ask`` and ``held`` by ``key``, that of crowded keys after both have been cut ``deeper``, up to ``DEPTH`` times.
 
-
-def _meeting(ask: DataFrame, held: DataFrame, crowded: int, on, deeper, load=lambda ask, held: (ask, held)) -> DataFrame:
-    """The join ``on`` of ``ask`` and ``held`` by ``key``, that of crowded keys after both have been cut ``deeper``, as often as it takes.
-
-    ``load`` adds what ``deeper`` needs to the entries of crowded keys.
+    ``pool`` has the entries of both, each once: most keys stand there alone, and only those that don't are joined. ``load``
+    adds what ``deeper`` needs to the entries of crowded keys.
     """
-    found = None
-    for depth in range(16):
-        heavy = _crowded(held, crowded)
-        light = lambda df: df if heavy is None else df.join(heavy, "key", "left_anti")
-        got = on(light(ask), light(held))
-        found = got if found is None else found.unionByName(got)
-        if heavy is None:
-            return found
-        ask, held = ask.join(heavy, "key", "left_semi"), held.join(heavy, "key", "left_semi")
-        if not depth:
-            ask, held = load(ask, held)
+    shared = Table(pool.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared", count=F.col("n") > crowded)
+    some = shared.df.where(F.col("n") <= crowded).select("key")
+    found = on(ask.join(some, "key", "left_semi"), held.join(some, "key", "left_semi"))
+    if not shared.counted:
+        return found
+    heavy = shared.df.where(F.col("n") > crowded).select("key")
+    ask, held = load(ask.join(heavy, "key", "left_semi"), held.join(heavy, "key", "left_semi"))
+    for _ in range(DEPTH):
         ask, held = cut(deeper(ask, True), "ask"), cut(deeper(held, False), "held")
-    return found.unionByName(on(ask, held))  # by now all of a string but tau places agrees
+        many = Table(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("key"), "crowded", count=F.lit(True))
+        if not many.counted:
+            break
+        found = found.unionByName(on(ask.join(many.df, "key", "left_anti"), held.join(many.df, "key", "left_anti")))
+        ask, held = ask.join(many.df, "key", "left_semi"), held.join(many.df, "key", "left_semi")
+    return found.unionByName(on(ask, held))
 
 
 def near_strings(batch: DataFrame, stored: DataFrame | None, tau: int, substitutions: bool = False, crowded: int = CROWDED) -> DataFrame:
     """``(a, b)``, a before b: distinct pairs of strings within tau edits, both of ``batch`` (s) or one of it and one stored.
 
     ``stored`` holds segments as ``segments`` gives them, of strings that aren't in ``batch``. With substitutions the strings of a segment held by more
-    than ``crowded`` are paired only if some part of the rest agrees, too, and so on, which loses no pair: what is left
-    to be paired in the end are strings within tau of one another.
+    than ``crowded`` are paired only if some part of the rest agrees, too, and so on for ``DEPTH`` cuts, which loses no pair.
     """
     ask, held = probes(batch, tau, substitutions), segments(batch, tau)
     if stored is not None:  # of the history only what the batch asks for
         held = held.unionByName(stored.join(ask.select("key").distinct(), "key", "left_semi"))
     pair = lambda x, y: x.select("key", F.col("s").alias("a")).join(y.select("key", F.col("s").alias("b")), "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     load = lambda ask, held: (ask.withColumn("rest", F.col("s")), held.withColumn("rest", F.col("s")))
-    pairs = _meeting(ask, held, crowded, pair, lambda df, _: _deeper(df, tau), load) if substitutions else pair(ask, held)
+    pairs = _meeting(ask, held, held, crowded, pair, lambda df, _: _deeper(df, tau), load) if substitutions else pair(ask, held)
     return pairs.distinct().where(_distance_within(F.col("a"), F.col("b"), tau, substitutions))
 
 
@@ -183,9 +181,9 @@ def matches(new: DataFrame, asked: DataFrame | None = None, stored: DataFrame |
     Those of ``new`` with equal hashes aren't paired. ``asked`` are the stored entries whose keys ``new`` has, too, ``stored`` all stored classes.
     """
     ask = entries(new)
-    held = ask.where(F.col("kind") != EQUAL).withColumn("old", F.lit(False))
+    held, pool = ask.where(F.col("kind") != EQUAL).withColumn("old", F.lit(False)), ask.select("key")
     if asked is not None:
-        held = held.unionByName(asked.withColumn("old", F.lit(True)))
+        held, pool = held.unionByName(asked.withColumn("old", F.lit(True))), pool.unionByName(asked.select("key"))
     own = new.select("cid", "sha", "bytes", "first")
 
     def known(of: DataFrame) -> DataFrame:
@@ -203,7 +201,7 @@ def matches(new: DataFrame, asked: DataFrame | None = None, stored: DataFrame |
     def deeper(df: DataFrame, asks: bool) -> DataFrame:
         return _deeper(df.where(F.col("kind") == SEGMENT), TAU).unionByName(_prefixes(df.where(F.col("kind") == HEAD), asks)).unionByName(df.where(F.col("kind") == EQUAL))
 
-    pairs = cut(_meeting(ask, held, crowded, pair, deeper, load).distinct(), "pairs")
+    pairs = cut(_meeting(ask, held, pool, crowded, pair, deeper, load).distinct(), "pairs")
     late = own.select(F.col("cid").alias("late"), "sha", "bytes", F.col("first").alias("mine"))
     early = known(pairs.where("old").select(F.col("early").alias("cid"))).select(F.col("cid").alias("early"), F.col("sha").alias("sha2"), F.col("bytes").alias("bytes2"), "first")
     met = pairs.join(late, "late").join(early, "early").where("first < mine").where(_matches())
@@ -311,7 +309,7 @@ class History:
     def _write(self, classes: DataFrame, index: DataFrame, run: int, buckets: int) -> None:
         for name, key, df in (("classes", "cid", classes), ("index", "key", index)):
             df = df.withColumn("b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-            df.repartition("b").sortWithinPartitions("b", key).write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/{name}/run={run}")
+            df.repartition("b").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/{name}/run={run}")
 
     def add(self, records: DataFrame) -> DataFrame:
         """Rejects of a batch ``records`` (id, ts, sha, bytes) later than all before it; what is accepted is appended."""
@@ -319,7 +317,7 @@ class History:
         new = cut(classes_of(records), "classes")
         index, stored, asked = self.index(new), self._read(new, "classes", "cid", None), None
         if index is not None:
-            asked = cut(index.join(entries(new).select("key").distinct(), "key", "left_semi"), "asked")
+            asked = cut(index.join(entries(new).select("key"), "key", "left_semi"), "asked")
         decided = cut(decide(new, asked, stored), "decided")
         out = cut(rejected(records, decided), "rejected")
         good = decided.where("rep IS NULL").select("cid", "sha", "bytes", "first", "n")

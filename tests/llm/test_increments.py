@@ -142,12 +142,12 @@ def test_what_matches(spark):
     old = [("same", t, "ab" * 32, 5), ("near", t, "cd" * 32, 9000), ("head", t, "ef" * 20, 7), ("size", t, "ef" * 19, 8), ("none", t, "12" * 32, 5), ("none2", t, "ab" * 7, None)]
     new = [("x", t + dt.timedelta(1), "ab" * 32, None), ("y", t + dt.timedelta(1), "cd" * 31 + "ce", 9064), ("z", t + dt.timedelta(1), "ef" * 32, 7), ("u", t + dt.timedelta(1), "cd" * 31 + "cf", 9065)]
     old, new = (increments.classes_of(spark.createDataFrame(x, SHAPE)) for x in (old, new))
-    for crowded in (500, 0):
+    for crowded in (500, 1):
         got = increments.matches(new, increments.entries(old), old, crowded).where("old").join(new.select(F.col("cid").alias("late"), F.col("first.id").alias("id")), "late")
         assert rows(got.select("id", "first.id")) == [("x", "same"), ("y", "near"), ("z", "head")]
 
 
-@pytest.mark.parametrize("crowded", [0, 3])
+@pytest.mark.parametrize("crowded", [1])
 def test_crowded_keys_against_brute_force(spark, crowded):
     recs = make(11, 120)
     df = spark.createDataFrame(recs, SHAPE).distinct()
