@@ -66,5 +66,5 @@ def annotation_counts(df: DataFrame, path: str, text: str) -> DataFrame:
     """``(path, bytes, sha256, annotations)`` of backup files (path, text): entries of a JSON list, of any other text the lines that aren't blank."""
     t = F.col(text)
     lines = F.size(F.filter(F.split(t, r"\r?\n"), lambda s: F.trim(s) != ""))
-    n = F.when(F.ltrim(t).startswith("[") & F.try_parse_json(t).isNotNull(), F.json_array_length(t)).otherwise(lines)
+    n = F.when(F.ltrim(t).startswith("[") & F.rtrim(t).endswith("]") & F.try_parse_json(t).isNotNull(), F.json_array_length(t)).otherwise(lines)
     return df.select(path, F.octet_length(t).alias("bytes"), F.sha2(t, 256).alias("sha256"), F.coalesce(n, F.lit(0)).cast("bigint").alias("annotations"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import paths, text, vectors
 from millrace.functions.strings import plain_hash
-from millrace.operators import chunks, dedup, density, frames, gates, kernels, packed, ranking, reports, similarity, splits, tables, tags
+from millrace.operators import chunks, dedup, density, frames, gates, kernels, reports, similarity, splits, tables, tags
 from millrace.operators.graph import connected_components
 from millrace.plans.book import Book
 from millrace.plans.pipeline import Pipeline, Result, Stage

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import text
+from millrace.functions import text, vectors
 from millrace.functions.vectors import doubles
 from millrace.operators import density, gates, kernels, reports, signal, tags
 from millrace.plans.book import Book
@@ -276,3 +276,42 @@ def label_verdicts(spark: SparkSession, d: str) -> DataFrame:
 def projected(spark: SparkSession, d: str) -> DataFrame:
     """Two principal components; checked by their variance on a fixture."""
     return density.projection(table(spark, d, "embeddings", "vec_id", "embedding"), "vec_id", "embedding")
+
+
+# scalars
+
+
+@query("""
+SELECT vec_id, (list_position(v, list_max(v)) - 1)::INT AS top, round(CASE WHEN abs(v[2]) > 0 THEN 10 * log10(abs(v[1]) / abs(v[2])) ELSE 'inf'::DOUBLE END, 6) AS db, greatest(0, least(1, v[1]))::DOUBLE AS clamped,
+  round(CASE WHEN v[1] * 10 > -1 THEN pow(10, (-1 - v[1] * 10) / 20) ELSE 1 END, 9)::DOUBLE AS gain FROM (SELECT vec_id, embedding::DOUBLE[] v FROM embeddings)""")
+def vector_scalars(spark: SparkSession, d: str) -> DataFrame:
+    v = doubles(F.col("embedding"))
+    a, b = F.get(v, 0), F.get(v, 1)
+    return table(spark, d, "embeddings", "vec_id", "embedding").select(
+        "vec_id", vectors.argmax(v).alias("top"), F.round(vectors.decibels(F.abs(a), F.abs(b)), 6).alias("db"), vectors.clamp(a).alias("clamped"), F.round(vectors.peak_gain(a * 10, -1.0), 9).alias("gain")
+    )
+
+
+_SURNAMES = "王李张刘陈杨黄赵吴周"
+
+
+@query(rf"""
+SELECT doc_id, array_to_string(list_filter(regexp_extract_all(regexp_replace(coalesce(text, ''), '([一-龥]+)', '\1' || chr(1), 'g'), '([{_SURNAMES}][一-龥]{{1,2}})\x01', 1), lambda x: NOT list_contains([{", ".join(f"'{w}'" for w in text.NOT_NAMES)}], x)), ',') AS names FROM documents""")
+def name_hits(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "documents", "doc_id", "text").select("doc_id", F.array_join(text.chinese_names(t, _SURNAMES), ",").alias("names"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE lang || '|' || source END AS parts FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
+def literal_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Lists as Python writes them; every fifth is broken."""
+    docs = table(spark, d, "documents", "doc_id", "lang", "source").where("lang IS NOT NULL AND source IS NOT NULL")
+    line = F.when(F.col("doc_id") % 5 == 0, F.lit("oops")).otherwise(F.concat(F.lit("['"), "lang", F.lit("', '"), "source", F.lit("']")))
+    return docs.select("doc_id", F.array_join(text.python_list(line), "|").alias("parts"))
+
+
+@query("SELECT audio_id, coalesce(duration_sec >= 30, false) AS kept FROM audio_manifest")
+def routed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that pass and rows that don't, each once."""
+    good, bad = gates.routed(table(spark, d, "audio_manifest", "audio_id", "duration_sec").withColumn("ok", F.col("duration_sec") >= 30))
+    return good.select("audio_id", F.lit(True).alias("kept")).unionByName(bad.select("audio_id", F.lit(False).alias("kept")))

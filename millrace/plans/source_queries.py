@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import vocabulary
-from millrace.operators import ingest
+from millrace.operators import annotations, ingest, tables
 from millrace.plans.book import Book
 from millrace.plans.bundles import dedup_stages, write_bundle
 from millrace.plans.pipeline import Pipeline
@@ -175,3 +174,45 @@ def dedup_run(spark: SparkSession, d: str) -> DataFrame:
     run = Pipeline(stages).run(e, only=["exact"])
     paths = write_bundle(run, "vec_id", _folder(spark), "v1")
     return spark.read.parquet(paths["counts"]).select("stage", "n")
+
+
+# nested records
+
+_LINE = """'{"id": "' || n_nationkey || '", "data": {"audio": "p' || n_nationkey || '"}, "annotations": [{"result": [{"from_name": "mood", "value": {"choices": ["' || n_name || '", "x"]}}, {"from_name": "note", "value": {"text": ["t' || n_regionkey || '"]}}]}]}'"""
+
+
+@query("SELECT n_nationkey::VARCHAR AS id, 'p' || n_nationkey AS audio, n_name AS mood, 't' || n_regionkey AS note, '' AS genre FROM nation")
+def annotation_answers(spark: SparkSession, d: str) -> DataFrame:
+    """First answers of nested annotation records; an absent one is empty."""
+    lines = table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey").select(F.from_json(F.expr(_LINE), annotations.ANNOTATION).alias("r")).select("r.*")
+    return annotations.flatten(lines, ["mood", "genre"], ["note"]).drop("raw")
+
+
+@query("SELECT 'n' || n_nationkey AS id, 'http://host/f' || n_nationkey || '.wav' AS audio, CASE WHEN n_nationkey % 2 = 0 THEN n_name || ', drums' ELSE '' END AS instruments, 'calm' AS mood, '' AS genre, n_nationkey * 1.5 AS tempo, NULL::VARCHAR AS key FROM nation")
+def label_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Labelling tasks of inference records, with missing lists empty."""
+    n = table(spark, d, "nation", "n_nationkey", "n_name")
+    lists = F.when(F.col("n_nationkey") % 2 == 0, F.array("n_name", F.lit("drums")))
+    p = F.struct(lists.alias("instruments"), F.array(F.lit("calm")).alias("mood"), F.lit(None).cast("array<string>").alias("genre"), (F.col("n_nationkey") * 1.5).alias("tempo"), F.lit(None).cast("string").alias("key"))
+    rows = n.select(F.concat(F.lit("n"), "n_nationkey").alias("item_id"), F.concat(F.lit("f"), "n_nationkey", F.lit(".wav")).alias("audio_path"), p.alias("predictions"))
+    return annotations.tasks(rows, "http://host/")
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def first_seen_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The keys of a stream, each once."""
+    folder = _folder(spark)
+    table(spark, d, "events", "user_id", F.col("ts").cast("timestamp").alias("ts")).repartition(3).write.parquet(f"{folder}/in")
+    stream = windows.read_stream(spark, f"{folder}/in", "user_id bigint, ts timestamp", files_per_trigger=1)
+    windows.run_available(windows.first_seen(stream, ["user_id"], "ts", "400 days"), f"{folder}/out", f"{folder}/cp").awaitTermination()
+    return spark.read.schema("user_id bigint").parquet(f"{folder}/out")
+
+
+@query("""
+WITH a AS (SELECT file_relative_path p, max(file_bytes) s, max(sha256) c FROM raw_audio_checksums WHERE file_relative_path IS NOT NULL GROUP BY 1),
+b AS (SELECT file_relative_path p, max(file_bytes) s, max(sha256) c FROM storage_checksums WHERE file_relative_path IS NOT NULL GROUP BY 1)
+SELECT coalesce(a.p, b.p) AS file_relative_path, CASE WHEN b.p IS NULL THEN 'missing' WHEN a.p IS NULL THEN 'extra' WHEN a.s IS DISTINCT FROM b.s THEN 'size_mismatch' WHEN a.c <> b.c AND NOT contains(b.c, 'a0') THEN 'checksum_mismatch' ELSE 'ok' END AS status FROM a FULL JOIN b ON a.p = b.p""")
+def store_diff(spark: SparkSession, d: str) -> DataFrame:
+    """An inventory compared with a store's, whose checksums of one kind aren't comparable."""
+    side = lambda t: table(spark, d, t, "file_relative_path", "file_bytes", "sha256").where("file_relative_path IS NOT NULL").groupBy("file_relative_path").agg(F.max("file_bytes").alias("file_bytes"), F.max("sha256").alias("sha256"))
+    return tables.inventory_diff(side("raw_audio_checksums"), side("storage_checksums"), "file_relative_path", "file_bytes", "sha256", skip=F.contains(F.col("b"), F.lit("a0")))
