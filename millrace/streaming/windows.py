@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: Columns of the folders below an upserted table.
+BUCKET, BATCH = "bucket_", "batch_"
+
 
 def read_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 16, pattern: str = "*.parquet") -> DataFrame:
     """A stream of the Parquet files of a folder, so many at a time."""
@@ -37,7 +40,7 @@ def first_seen(df: DataFrame, keys: list[str], time: str, late: str) -> DataFram
 def upsert_sink(df: DataFrame, path: str, key: str, order: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
     """Keeps one row per key, the last by ``order``, below ``path``, in buckets by a hash of the key; runs on what is there and ends.
 
-    A micro-batch rewrites only the buckets that its keys fall in: bucket b of batch n goes to ``path/b=<b>/v=<n>``, made
+    A micro-batch rewrites only the buckets that its keys fall in: bucket b of batch n goes to ``path/bucket_=<b>/batch_=<n>``, made
     from the bucket's last version below n, so that a batch run again after a failure writes the same files. ``read_upserted`` reads
     the last version of each bucket.
     """
@@ -47,14 +50,14 @@ def upsert_sink(df: DataFrame, path: str, key: str, order: str, checkpoint: str,
 
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        asked = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        asked = [r[0] for r in batch.select(bucket.alias(BUCKET)).distinct().collect()]  # at most ``buckets``
         last = {b: v for b, v in _versions(spark, path, n).items() if b in asked}
-        every = batch.withColumn("b", bucket)
+        every = batch.withColumn(BUCKET, bucket)
         if last:
-            old = spark.read.schema(batch.schema).parquet(*[f"{path}/b={b}/v={v}" for b, v in last.items()]).withColumn("b", bucket)
+            old = spark.read.schema(batch.schema).parquet(*[f"{path}/{BUCKET}={b}/{BATCH}={v}" for b, v in last.items()]).withColumn(BUCKET, bucket)
             every = old.unionByName(every)
-        out = upsert_last([every], key, [order]).withColumn("v", F.lit(n))
-        out.repartition("b").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b", "v").parquet(path)
+        out = upsert_last([every], key, [order]).withColumn(BATCH, F.lit(n))
+        out.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(path)
 
     return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -64,7 +67,7 @@ def _versions(spark: SparkSession, path: str, below: int | None = None) -> dict[
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     out: dict[int, int] = {}
-    for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/b=*/v=*")) or []:
+    for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}=*/{BATCH}=*")) or []:
         b, v = (int(p.split("=")[1]) for p in s.getPath().toString().rsplit("/", 2)[-2:])
         if below is None or v < below:
             out[b] = max(out.get(b, -1), v)
@@ -74,7 +77,7 @@ def _versions(spark: SparkSession, path: str, below: int | None = None) -> dict[
 def read_upserted(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The rows that ``upsert_sink`` has kept."""
     last = _versions(spark, path)
-    return spark.read.schema(schema).parquet(*[f"{path}/b={b}/v={v}" for b, v in last.items()]) if last else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{BUCKET}={b}/{BATCH}={v}" for b, v in last.items()]) if last else spark.createDataFrame([], schema)
 
 
 def late_rows(df: DataFrame, seen: DataFrame, time: str, late: str) -> tuple[DataFrame, DataFrame]:
