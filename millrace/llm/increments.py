@@ -163,7 +163,7 @@ def entries(classes: DataFrame) -> DataFrame:
         ]
     found.append(f"CASE WHEN bytes IS NOT NULL AND length(sha) >= {PREFIX} THEN named_struct('kind', {HEAD}, 'i', 0, 'key', xxhash64({HEAD}, substring(sha, 1, {PREFIX}), bytes)) END")
     rows = classes.selectExpr("cid", "sha", "bytes", f"bytes IS NOT NULL AND sha RLIKE '^[0-9a-f]{{{FULL}}}$' AS whole")
-    return rows.selectExpr("cid", f"explode(filter(array({', '.join(found)}), e -> e IS NOT NULL)) AS e").select("cid", "e.*")
+    return rows.selectExpr("cid", f"explode(array({', '.join(found)})) AS e").where("e IS NOT NULL").select("cid", "e.*")
 
 
 def _matches() -> Column:
